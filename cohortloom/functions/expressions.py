@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -56,13 +58,30 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions) if conditions else F.lit(True)
 
 
-def like_any(text: Column, patterns, case_sensitive: bool = False) -> Column:
-    """TRUE when ``text`` matches any LIKE pattern.
+# Up to this many patterns are ORed as LIKE tests. A long OR makes a generated
+# method that the JVM does not compile; one regular expression does not.
+LIKE_TESTS = 12
 
-    The patterns are literals, so Catalyst turns ``%x%``, ``x%``, ``%x`` and
-    ``x`` into plain contains / prefix / suffix / equality tests.
+
+def _like_regex(pattern: str) -> str:
+    """A regular expression that finds what a LIKE pattern matches."""
+    start = "" if pattern.startswith("%") else "^"
+    end = "" if pattern.endswith("%") else r"\z"
+    wild = {"%": ".*", "_": "."}
+    return start + "".join(wild.get(c) or re.escape(c) for c in pattern.strip("%")) + end
+
+
+def like_any(text: Column, patterns: Sequence[str], case_sensitive: bool = False) -> Column:
+    """TRUE when ``text`` matches any LIKE pattern (``%`` and ``_``, no escapes).
+
+    The patterns are literals, so Catalyst turns a short list into plain
+    contains / prefix / suffix / equality tests.
     """
     if not case_sensitive:
         text = F.lower(text)
         patterns = [p.lower() for p in patterns]
-    return any_of([text.like(p) for p in dict.fromkeys(patterns)])
+    patterns = list(dict.fromkeys(patterns))
+    if len(patterns) <= LIKE_TESTS:
+        return any_of([text.like(p) for p in patterns])
+    # (?s) lets % span line breaks; "\z", unlike $, is the very end of the text.
+    return text.rlike("(?s)" + "|".join(_like_regex(p) for p in patterns))

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.expressions import year_boundaries
+from cohortloom.functions.expressions import any_of, year_boundaries
 from cohortloom.functions.rules import Rule
 from cohortloom.operators.index import first_event
-from cohortloom.operators.sizing import keep_keys, look_up
+from cohortloom.operators.sizing import is_small, look_up
 from cohortloom.operators.value_sets import accepted_loads
 
 
@@ -76,7 +76,7 @@ def condition_terms(
             marks.append(rule.condition(False, case_sensitive).alias(f"f_{rule.name}"))
     marked = terminology.select("diagnosis_key", *marks)
     names = [c for c in marked.columns if c != "diagnosis_key"]
-    return marked.where(F.greatest(*names) if len(names) > 1 else F.col(names[0]))
+    return marked.where(any_of([F.col(n) for n in names]))
 
 
 def earliest_by_patient(
@@ -90,11 +90,13 @@ def earliest_by_patient(
 
     The fact is scanned once for all rules. Dates are aggregated within each
     task before the shuffle on ``patient_key``, so a patient with very many
-    events sends one row per task. ``patients`` limits the work to known keys.
+    events sends one row per task. ``patients`` limits the work to known keys if
+    they fit into a broadcast; a shuffled semi-join would move the events of a
+    hot patient to one task, which the aggregation alone does not.
     """
     hits = look_up(diagnoses, terms, "diagnosis_key")
-    if patients is not None:
-        hits = keep_keys(hits, patients, "patient_key")
+    if patients is not None and is_small(patients):
+        hits = hits.join(F.broadcast(patients), "patient_key", "left_semi")
     hits = accepted_loads(hits, profile, load_types)
     marks = [c for c in terms.columns if c != "diagnosis_key"]
     return hits.groupBy("patient_key").agg(
@@ -121,11 +123,11 @@ def history_flags(
 
     The row count is that of ``index``. A row without a person id gets zeros, as
     it could not be matched by person. Set ``settled`` when ``index`` is
-    materialized: the fact is then cut down to the indexed patients, at the scan
-    when their keys fit into a broadcast.
+    materialized: if its keys fit into a broadcast, the fact is then cut down to
+    the indexed patients before anything is shuffled.
     """
     terms = condition_terms(terminology, rules, case_sensitive)
-    patients = index.select("patient_key").distinct() if settled else None
+    patients = index.select("patient_key") if settled else None
     earliest = earliest_by_patient(diagnoses, terms, profile, load_types, patients)
 
     def flag(rule: Rule) -> Column:

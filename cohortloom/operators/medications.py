@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.rules import DrugClass
-from cohortloom.operators.sizing import broadcast_if_small, is_small, keep_keys
+from cohortloom.operators.sizing import is_small, keep_keys
 
 ORDER_TIMES = ("order_placed_datetime", "order_start_datetime", "order_end_datetime")
 
@@ -29,23 +29,19 @@ def classify_medications(
     and not once per order.
     """
     brand, generic = F.col("medication_name"), F.col("generic_name")
-    labels = F.array_compact(
-        F.array(
-            *[
-                F.when(c.condition(brand, generic, case_sensitive), F.lit(c.label))
-                for c in classes
-            ]
-        )
-    )
+    labels = [
+        F.when(c.condition(brand, generic, case_sensitive), F.lit(c.label)) for c in classes
+    ]
+    # A filter after the explode, since array_compact would leave codegen.
     return (
         medications.where(F.col("medication_key") > 0)
-        .select("medication_key", "medication_name", "generic_name", labels.alias("labels"))
         .select(
-            F.explode("labels").alias("med_class"),
+            F.explode(F.array(*labels)).alias("med_class"),
             "medication_key",
             "medication_name",
             "generic_name",
         )
+        .where(F.col("med_class").isNotNull())
     )
 
 
@@ -62,29 +58,30 @@ def medication_exposure(
     """Distinct (class, medication, order times, patient key, person) of the cohort.
 
     The order fact is read once for all classes. Cohort keys come from
-    ``cohort``, the person id from ``patients``. Duplicate orders are removed
-    while the rows hold keys and times only; names and classes join afterwards
-    when the classified medications fit into a broadcast, so strings are not
-    shuffled. Otherwise everything joins once and is made distinct at the end.
+    ``cohort``, the person id from ``patients``.
+
+    Duplicates are removed while the rows hold keys and times only; names and
+    classes join afterwards. A join of distinct sides that keeps all their
+    columns is distinct itself, so one pass of duplicate removal is enough. It
+    comes before a shuffled join on ``patient_key``, never after it: there it
+    would reuse that partitioning and so keep AQE from splitting a hot patient.
     """
     classified = classify_medications(medications, classes, case_sensitive).distinct()
-    late_names = is_small(classified)
-
     placed = orders.where(F.col("medication_key") > 0)
-    if late_names:
+    if is_small(classified):
+        classified = F.broadcast(classified)
         known = F.broadcast(classified.select("medication_key"))
         placed = placed.join(known, "medication_key", "left_semi")
     accepted = order_profile.where(F.col("order_status").isin(*statuses))
     placed = keep_keys(placed, accepted, "medication_order_profile_key")
+    placed = placed.select("medication_key", *ORDER_TIMES, "patient_key")
 
     members = keep_keys(patients.select("patient_key", "ir_id"), cohort, "patient_key").distinct()
-    placed = placed.join(broadcast_if_small(members), "patient_key").select(
-        "medication_key", *ORDER_TIMES, "patient_key", "ir_id"
-    )
-    if late_names:
-        exposure = placed.distinct().join(F.broadcast(classified), "medication_key")
+    if is_small(members):
+        placed = placed.join(F.broadcast(members), "patient_key").distinct()
     else:
-        exposure = placed.join(classified, "medication_key").distinct()
+        placed = placed.distinct().join(members, "patient_key")
+    exposure = placed.join(classified, "medication_key")
     return exposure.select(
         "med_class",
         "medication_key",

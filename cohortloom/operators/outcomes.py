@@ -58,7 +58,9 @@ def label_outcomes(
     This is a left join, but one whose right side may hold a hot person, and
     AQE cannot split the right side of a left join. So the matches are an inner
     join, which it can split, and the persons without events are added to it.
-    Both parts read the same exchange of the distinct events.
+    Those are found through one row per person, its number of events. Counting
+    them, rather than asking whether there are any, makes both parts need the
+    same distinct events, which are then computed once and their exchange reused.
 
     The sort ends in the event time, so that a person with very many events is
     spread over several range partitions.
@@ -66,9 +68,10 @@ def label_outcomes(
     renamed = events.withColumnRenamed("start_datetime", label)
     side = broadcast_if_small(index) if settled else index
     matched = renamed.join(side, "ir_id").select(*columns)
-    with_events = events.select("ir_id").distinct()
+    counts = events.groupBy("ir_id").agg(F.count(F.lit(1)).alias("_n"))
     unmatched = (
-        index.join(with_events, "ir_id", "left_anti")
+        index.join(counts, "ir_id", "left")
+        .where(F.col("_n").isNull())
         .withColumn(label, F.lit(None).cast(renamed.schema[label].dataType))
         .select(*columns)
     )

@@ -59,7 +59,8 @@ def look_up(fact: DataFrame, dim: DataFrame, on: str, limit: int = BROADCAST_BYT
 
     When ``dim`` is small its keys filter the fact first. Catalyst pushes such a
     semi-join through the joins of a fact that is itself a view, down to the
-    scan that holds the key; it does not do so for the inner join.
+    table that holds the key, as long as the view computes its columns below its
+    joins. It does not do so for the inner join.
     """
     if not is_small(dim, limit):
         return fact.join(dim, on)

@@ -6,13 +6,20 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cohortloom.sources.schemas import VIEWS, check_view
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` in ``folder``; filters and columns are pushed down."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def load(
+    spark: SparkSession, folder: str, name: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """The Parquet table ``name`` in ``folder``; filters and columns are pushed down.
+
+    With a ``schema`` no file footer is read to find one.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def load_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:

@@ -21,7 +21,22 @@ from cohortloom.functions.vocabulary import AF_OUTCOME, BYPASS_CODES, HISTORY_CO
 from cohortloom.operators.index import NO_ENCOUNTER
 from cohortloom.sources import Warehouse, load
 
-BASE_TABLES = ("customer", "nation", "orders", "lineitem", "part")
+BASE_TABLES = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+}
+
+
+def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return load(spark, folder, name, BASE_TABLES[name])
 
 
 def case_key() -> Column:
@@ -36,12 +51,31 @@ class Analogue:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        return base_table(self.spark, self.folder, name)
 
     @cached_property
     def items(self) -> DataFrame:
-        lineitem, orders = self.table("lineitem"), self.table("orders")
-        return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        """Line items with their order. Everything computed is computed below the
+        join, so that filters and semi-joins on the result reach the tables."""
+        items = self.table("lineitem").select(
+            "l_orderkey",
+            "l_partkey",
+            "l_shipdate",
+            case_key().alias("case_key"),
+            F.col("l_shipdate").cast("date").alias("ship_day"),
+        )
+        status = F.col("o_orderstatus")
+        orders = self.table("orders").select(
+            "o_orderkey",
+            "o_custkey",
+            "o_orderdate",
+            F.substring("o_orderpriority", 1, 1).cast("long").alias("priority_key"),
+            F.ascii(status).cast("long").alias("status_key"),
+            F.when(status == "P", NO_ENCOUNTER)
+            .otherwise(F.col("o_orderkey"))
+            .alias("encounter_key"),
+        )
+        return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @property
     def procedure_dim(self) -> DataFrame:
@@ -54,14 +88,13 @@ class Analogue:
 
     @property
     def procedures(self) -> DataFrame:
-        no_encounter = F.when(F.col("o_orderstatus") == "P", F.lit(NO_ENCOUNTER))
         return self.items.select(
-            case_key().alias("coded_procedure_key"),
+            F.col("case_key").alias("coded_procedure_key"),
             F.col("o_custkey").alias("patient_key"),
             F.col("l_partkey").alias("procedure_key"),
             F.col("l_orderkey").alias("visit_key"),
-            no_encounter.otherwise(F.col("l_orderkey")).alias("encounter_inpatient_key"),
-            F.col("l_shipdate").cast("date").alias("coded_procedure_date_key"),
+            F.col("encounter_key").alias("encounter_inpatient_key"),
+            F.col("ship_day").alias("coded_procedure_date_key"),
         )
 
     @property
@@ -73,7 +106,7 @@ class Analogue:
 
     @property
     def patients(self) -> DataFrame:
-        nation = F.broadcast(self.table("nation"))  # 25 rows at every scale
+        nation = self.table("nation")
         return (
             self.table("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -100,12 +133,12 @@ class Analogue:
     @property
     def diagnoses(self) -> DataFrame:
         return self.items.select(
-            case_key().alias("diagnosis_event_key"),
+            F.col("case_key").alias("diagnosis_event_key"),
             F.col("o_custkey").alias("patient_key"),
             F.col("l_partkey").alias("diagnosis_key"),
-            F.substring("o_orderpriority", 1, 1).cast("long").alias("diagnosis_event_profile_key"),
+            F.col("priority_key").alias("diagnosis_event_profile_key"),
             F.col("l_shipdate").alias("start_datetime"),
-            F.col("l_shipdate").cast("date").alias("start_date_key"),
+            F.col("ship_day").alias("start_date_key"),
         )
 
     @property
@@ -142,7 +175,7 @@ class Analogue:
         return self.items.select(
             F.col("l_partkey").alias("medication_key"),
             F.col("o_custkey").alias("patient_key"),
-            F.ascii("o_orderstatus").cast("long").alias("medication_order_profile_key"),
+            F.col("status_key").alias("medication_order_profile_key"),
             F.col("o_orderdate").alias("order_placed_datetime"),
             F.col("l_shipdate").alias("order_start_datetime"),
             F.lit(None).cast("timestamp_ntz").alias("order_end_datetime"),
@@ -175,9 +208,9 @@ def values(rows: list[tuple]) -> str:
 
 def procedure_entries() -> list[tuple]:
     """(code type, code, name): every surgery code, and some that do not count."""
-    system = lambda code: "CPT" if len(code) == 5 and "." not in code else "ICD10"
+    systems = {5: "CPT", 7: "ICD10"}
     listed = [
-        ("ICD9" if "." in code else system(code), code, f"Bypass {n} at 50% o'clock")
+        ("ICD9" if "." in code else systems[len(code)], code, f"Bypass {n} at 50% o'clock")
         for n, code in enumerate(BYPASS_CODES)
     ]
     other = [
@@ -244,7 +277,6 @@ def drug_entries() -> list[tuple]:
 
 # A line item's event is undated when its number is 7 and its order is divisible by 5.
 _DATE = "CASE WHEN l_linenumber = 7 AND l_orderkey % 5 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END"
-_ITEMS = "{lineitem} JOIN {orders} ON l_orderkey = o_orderkey"
 _CASE = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
 
 
@@ -270,24 +302,29 @@ def clinical_sql() -> dict[str, str]:
             FROM {{part}} JOIN (VALUES {values(procedures)}) AS t(slot, code_type, code, name)
             ON p_partkey % {len(procedures)} = slot""",
         "coded_procedure": f"""
-            SELECT {_CASE} AS coded_procedure_key, o_custkey AS patient_key,
+            SELECT case_key AS coded_procedure_key, o_custkey AS patient_key,
                    l_partkey AS procedure_key, l_orderkey AS visit_key,
-                   CASE WHEN o_orderstatus = 'P' THEN -2 ELSE l_orderkey END
-                       AS encounter_inpatient_key,
-                   {_DATE} AS coded_procedure_date_key
-            FROM {_ITEMS}""",
+                   encounter_key AS encounter_inpatient_key, day AS coded_procedure_date_key
+            FROM (SELECT l_orderkey, l_partkey, {_CASE} AS case_key, {_DATE} AS day
+                  FROM {{lineitem}}) AS i
+            JOIN (SELECT o_orderkey, o_custkey,
+                         CASE WHEN o_orderstatus = 'P' THEN -2 ELSE o_orderkey END AS encounter_key
+                  FROM {{orders}}) AS o ON l_orderkey = o_orderkey""",
         "encounter_inpatient": """
             SELECT CASE WHEN o_orderkey % 1000 = 7 THEN -2 ELSE o_orderkey END
                        AS encounter_inpatient_key,
                    o_orderdate + INTERVAL '400' DAY AS discharge_datetime
             FROM {orders}""",
         "diagnosis_event": f"""
-            SELECT {_CASE} AS diagnosis_event_key, o_custkey AS patient_key,
-                   l_partkey AS diagnosis_key,
-                   CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS diagnosis_event_profile_key,
-                   CASE WHEN l_linenumber = 6 THEN NULL ELSE l_shipdate END AS start_datetime,
-                   {_DATE} AS start_date_key
-            FROM {_ITEMS}""",
+            SELECT case_key AS diagnosis_event_key, o_custkey AS patient_key,
+                   l_partkey AS diagnosis_key, profile AS diagnosis_event_profile_key,
+                   moment AS start_datetime, day AS start_date_key
+            FROM (SELECT l_orderkey, l_partkey, {_CASE} AS case_key, {_DATE} AS day,
+                         CASE WHEN l_linenumber = 6 THEN NULL ELSE l_shipdate END AS moment
+                  FROM {{lineitem}}) AS i
+            JOIN (SELECT o_orderkey, o_custkey,
+                         CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS profile
+                  FROM {{orders}}) AS o ON l_orderkey = o_orderkey""",
         "diagnosis_event_profile": """
             SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT)
                        AS diagnosis_event_profile_key,
@@ -306,14 +343,18 @@ def clinical_sql() -> dict[str, str]:
                    brand AS medication_name, generic AS generic_name
             FROM {{part}} JOIN (VALUES {values(medicines)}) AS t(slot, brand, generic)
             ON p_partkey % {len(medicines)} = slot""",
-        "medication_order": f"""
-            SELECT CASE WHEN l_partkey % 50 = 49 THEN -l_partkey ELSE l_partkey END
-                       AS medication_key,
-                   o_custkey AS patient_key,
-                   CAST(ascii(o_orderstatus) AS BIGINT) AS medication_order_profile_key,
+        "medication_order": """
+            SELECT medication AS medication_key, o_custkey AS patient_key,
+                   status AS medication_order_profile_key,
                    o_orderdate AS order_placed_datetime, l_shipdate AS order_start_datetime,
-                   CASE WHEN l_linenumber < 5 THEN l_shipdate END AS order_end_datetime
-            FROM {_ITEMS}""",
+                   ended AS order_end_datetime
+            FROM (SELECT l_orderkey, l_shipdate,
+                         CASE WHEN l_partkey % 50 = 49 THEN -l_partkey ELSE l_partkey END AS medication,
+                         CASE WHEN l_linenumber < 5 THEN l_shipdate END AS ended
+                  FROM {lineitem}) AS i
+            JOIN (SELECT o_orderkey, o_custkey, o_orderdate,
+                         CAST(ascii(o_orderstatus) AS BIGINT) AS status
+                  FROM {orders}) AS o ON l_orderkey = o_orderkey""",
         "medication_order_profile": """
             SELECT DISTINCT CAST(ascii(o_orderstatus) AS BIGINT) AS medication_order_profile_key,
                    CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Sent'
@@ -334,6 +375,6 @@ def clinical_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
     def read(view: str) -> DataFrame:
         used = [t for t in BASE_TABLES if "{" + t + "}" in texts[view]]
-        return spark.sql(texts[view], **{t: load(spark, folder, t) for t in used})
+        return spark.sql(texts[view], **{t: base_table(spark, folder, t) for t in used})
 
     return Warehouse(read)

@@ -1,0 +1,462 @@
+"""The three studies on hand-made rows, one case of warehouse semantics at a time."""
+
+from datetime import date, datetime
+
+import pytest
+from clinic import AFTER, BEFORE, INDEX_DAY, clinic, diagnosis, patient, rows, surgery
+
+from cohortloom.functions import vocabulary as v
+from cohortloom.functions.rules import Branch, Rule
+from cohortloom.operators.history import history_flag, matrix_from_flags
+from cohortloom.operators.index import first_event, index_events
+from cohortloom.plans.studies import drug_exposure, surgery_history, surgery_outcomes
+
+DISCHARGE = datetime(2015, 6, 10)
+
+
+def cohort(warehouse, stay=True):
+    return index_events(
+        warehouse.view("coded_procedure"),
+        warehouse.view("procedure"),
+        warehouse.view("patient"),
+        v.PROCEDURE_CODE_TYPES,
+        v.BYPASS_CODES,
+        encounters=warehouse.view("encounter_inpatient") if stay else None,
+    )
+
+
+def test_undated_and_sentinel_procedures_are_dropped(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        coded_procedure=[
+            surgery(1, 1),
+            surgery(2, 1, day=None),
+            surgery(3, 1, encounter=-2),
+            surgery(4, 1, encounter=None),
+        ],
+        encounter_inpatient=[(1, DISCHARGE), (-2, None)],
+    )
+    assert [r.surgical_case_key for r in cohort(warehouse).collect()] == [1]
+    without_stay = cohort(warehouse, stay=False)
+    assert sorted(r.surgical_case_key for r in without_stay.collect()) == [1, 3, 4]
+    assert "discharge_datetime" not in without_stay.columns
+
+
+def test_code_system_and_code_are_independent(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        procedure=[
+            (1, "ICD code under CPT", "CPT", "36.10"),
+            (2, "other system", "HCPCS", "33510"),
+            (3, "other code", "CPT", "33515"),
+            (4, "no system", None, "33510"),
+        ],
+        coded_procedure=[surgery(n, 1, procedure=n) for n in (1, 2, 3, 4)],
+        encounter_inpatient=[(1, DISCHARGE)],
+    )
+    assert [r.surgical_case_key for r in cohort(warehouse).collect()] == [1]
+
+
+def test_duplicate_source_rows_stay_and_carried_columns_pass(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        coded_procedure=[surgery(1, 1), surgery(1, 1)],
+        encounter_inpatient=[(1, DISCHARGE)],
+    )
+    assert cohort(warehouse).count() == 2
+    patients = warehouse.view("patient").selectExpr("*", "'m' AS record_number")
+    carried = index_events(
+        warehouse.view("coded_procedure"),
+        warehouse.view("procedure"),
+        patients,
+        v.PROCEDURE_CODE_TYPES,
+        v.BYPASS_CODES,
+        carry=["record_number"],
+    )
+    assert {r.record_number for r in carried.collect()} == {"m"}
+
+
+def test_name_and_dates_of_an_index_event(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        procedure=[(1, "Bypass at 50% O'Brien", "CPT", "33510")],
+        coded_procedure=[surgery(1, 1)],
+        encounter_inpatient=[(1, DISCHARGE)],
+    )
+    event = cohort(warehouse).first()
+    assert event.procedure_name == "bypass_at_50percent_obrien"
+    assert event.surgery_start_datetime == event.surgery_end_datetime == datetime(2015, 6, 1)
+    assert event.surgery_start_date_key == event.surgery_end_date_key == INDEX_DAY
+    assert event.discharge_datetime == DISCHARGE
+
+
+def test_first_event_ties_nulls_and_missing_person(spark):
+    events = spark.createDataFrame(
+        [
+            (1, date(2015, 1, 2), 5),
+            (1, date(2015, 1, 1), 9),
+            (1, date(2015, 1, 1), 7),
+            (2, date(2015, 1, 1), 1),
+            (2, None, 2),
+            (None, date(2015, 1, 1), 3),
+            (None, date(2015, 1, 2), 4),
+        ],
+        "person long, day date, key long",
+    )
+    first = first_event(events, "person", "day", "key")
+    assert rows(first.select("person", "key")) == [(1, 7), (2, 2), (None, 3)]
+    assert first.columns == events.columns
+
+
+def test_first_by_name_is_not_first_by_date(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        procedure=[(1, "Zeta", "CPT", "33510"), (2, "Alpha", "CPT", "33511")],
+        coded_procedure=[surgery(1, 1, BEFORE, procedure=1), surgery(2, 1, AFTER, procedure=2)],
+        encounter_inpatient=[(1, DISCHARGE)],
+    )
+    events = cohort(warehouse)
+    assert first_event(events, "ir_id", "procedure_name", "surgical_case_key").first()[0] == 2
+    assert first_event(events, "ir_id", "surgery_start_datetime", "surgical_case_key").first()[0] == 1
+    # The two studies keep their own rule: a 2012 event precedes only the later surgery.
+    more = dict(
+        diagnosis_terminology=[(1, v.ICD9, "427.31", "427", None)],
+        diagnosis_event=[diagnosis(1, 1, 1, date(2012, 1, 1))],
+        patient=[patient(1, 10)],
+        procedure=[(1, "Zeta", "CPT", "33510"), (2, "Alpha", "CPT", "33511")],
+        coded_procedure=[surgery(1, 1, BEFORE, procedure=1), surgery(2, 1, AFTER, procedure=2)],
+        encounter_inpatient=[(1, DISCHARGE)],
+    )
+    warehouse = clinic(spark, **more)
+    assert surgery_history(warehouse).first().prior_af == 1
+    assert surgery_history(warehouse, index_order="surgery_start_datetime").first().prior_af == 0
+    assert surgery_outcomes(warehouse).first().surgical_case_key == 1
+
+
+# -- outcomes --------------------------------------------------------------------
+
+
+def outcome_clinic(spark):
+    return clinic(
+        spark,
+        patient=[patient(1, 10), patient(2, 10), patient(3, 30), patient(4, None), patient(5, 50)],
+        coded_procedure=[
+            surgery(1, 1),
+            surgery(2, 2, day=AFTER),
+            surgery(3, 3),
+            surgery(4, 4),
+            surgery(5, 5),
+        ],
+        encounter_inpatient=[(1, DISCHARGE)],
+        diagnosis_terminology=[
+            (1, v.ICD9, "427.31", "427", None),
+            (2, v.ICD10, "I48.0", "I48", None),
+            (3, v.SNOMED, "427.31", "427", None),
+        ],
+        diagnosis_event=[
+            (1, 1, 1, 1, datetime(2014, 1, 1), date(2014, 1, 1)),
+            (2, 1, 1, 1, datetime(2014, 1, 1), date(2014, 1, 1)),  # same time: one label
+            (3, 1, 2, 1, datetime(2015, 6, 1), date(2015, 6, 1)),  # start of the stay
+            (4, 1, 2, 1, datetime(2015, 6, 10), date(2015, 6, 10)),  # at discharge
+            (5, 1, 3, 1, datetime(2015, 6, 2), date(2015, 6, 2)),  # other code system
+            (6, 1, 1, 2, datetime(2015, 6, 3), date(2015, 6, 3)),  # other load type
+            (7, 1, 1, 1, None, date(2015, 6, 4)),  # no time
+            (8, 2, 1, 1, datetime(2015, 6, 5), date(2015, 6, 5)),  # person's other key
+            (9, 4, 1, 1, datetime(2015, 6, 5), date(2015, 6, 5)),  # no person id
+        ],
+    )
+
+
+def test_outcomes_at_any_time(spark):
+    labelled = surgery_outcomes(outcome_clinic(spark))
+    assert labelled.columns == [
+        "surgical_case_key",
+        "ir_id",
+        "patient_key",
+        "visit_key",
+        "surgery_start_datetime",
+        "AF_dxDate",
+        "discharge_datetime",
+    ]
+    found = [(r.ir_id, r.surgical_case_key, r.AF_dxDate) for r in labelled.collect()]
+    assert found == [
+        (None, 4, None),
+        (10, 1, datetime(2014, 1, 1)),
+        (10, 1, datetime(2015, 6, 1)),
+        (10, 1, datetime(2015, 6, 10)),
+        (30, 3, None),
+        (50, 5, None),
+    ]
+
+
+def test_outcomes_during_the_stay_are_half_open(spark):
+    labelled = surgery_outcomes(outcome_clinic(spark), during_stay=True)
+    assert [(r.ir_id, r.AF_dxDate) for r in labelled.collect()] == [(10, datetime(2015, 6, 1))]
+
+
+# -- history ---------------------------------------------------------------------
+
+
+def flags_for(spark, code_set, code, base, name, day, profile=1, **extra):
+    """The conditions set by one event of the only person."""
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10)],
+        coded_procedure=[surgery(1, 1)],
+        diagnosis_terminology=[(1, code_set, code, base, name)],
+        diagnosis_event=[diagnosis(1, 1, 1, day, profile)],
+        **extra,
+    )
+    row = surgery_history(warehouse).first().asDict()
+    return {rule.name for rule in v.HISTORY_CONDITIONS if row[rule.name]}
+
+
+@pytest.mark.parametrize(
+    ("code_set", "code", "base", "name", "expected"),
+    [
+        (v.ICD9, "401.9", "401", None, {"hypertension"}),
+        (v.ICD9, "405", "405", None, {"hypertension"}),
+        (v.ICD9, "4011", "4011", None, {"hypertension"}),
+        (v.ICD9, "405.1", "405.1", None, set()),
+        (v.ICD10, "I16.9", "I16", None, {"hypertension"}),
+        (v.ICD10, "I16.0", "I16.0", None, set()),
+        (v.SNOMED, "401", "401", None, set()),
+        (v.ICD9, "427.31", "427", None, {"prior_af"}),
+        (v.SNOMED, "427.31", "427", None, {"prior_af"}),
+        (v.ICD10, "I48", "I48", None, {"prior_af"}),
+        (v.ICD10, "I48.0", "I48", None, set()),
+        (v.ICD9, "250.00", "250", None, {"diabetes"}),
+        (v.ICD10, "E12.1", "E12", None, set()),
+        (v.SNOMED, "44054006", None, None, {"diabetes"}),
+        (v.ICD9, "44054006", None, None, set()),
+        ("LOCAL", None, None, "Diabetes type 2 mellitus", {"diabetes"}),
+        ("LOCAL", None, None, "mellitus diabetes", set()),
+        (None, None, None, "Smoker", {"smoking"}),
+        ("LOCAL", "F17.21", "F17", None, {"smoking"}),
+        ("LOCAL", "F17.3", "F17", "cigars", {"smoking"}),
+        (v.ICD10, "I34.0", "I34", None, {"mitralValve"}),
+        (v.ICD10, "I50.9", "I50", None, {"hf"}),
+        (v.ICD9, "402.91", "402", None, {"hf", "hypertension"}),
+        (v.ICD9, "410.1", "410", None, {"myo"}),
+        (v.ICD10, "J44.9", "J44", None, {"copd"}),
+        (v.ICD9, "J44.9", "J44", None, set()),
+        (v.ICD9, "496", "496", None, {"copd"}),
+    ],
+)
+def test_conditions_before_surgery(spark, code_set, code, base, name, expected):
+    assert flags_for(spark, code_set, code, base, name, BEFORE) == expected
+
+
+@pytest.mark.parametrize(
+    ("code_set", "code", "base", "name", "expected"),
+    [
+        (v.ICD10, "J44.9", "J44", None, {"copd"}),  # the guard covers the other branch
+        (v.ICD9, "496", "496", None, set()),
+        (None, None, None, "smoker", {"smoking"}),
+        ("LOCAL", "305.1", None, None, {"smoking"}),
+        ("LOCAL", "F17.21", "F17", None, set()),
+        (v.ICD9, "427.31", "427", None, set()),
+        ("LOCAL", None, None, "diabetes mellitus", set()),
+    ],
+)
+@pytest.mark.parametrize("day", [INDEX_DAY, AFTER, None])
+def test_conditions_not_before_surgery(spark, code_set, code, base, name, expected, day):
+    assert flags_for(spark, code_set, code, base, name, day) == expected
+
+
+def test_load_type_and_other_key(spark):
+    args = (v.ICD9, "427.31", "427", None)
+    assert flags_for(spark, *args, BEFORE, profile=2) == set()
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10), patient(2, 10)],
+        coded_procedure=[surgery(1, 1)],
+        diagnosis_terminology=[(1, *args)],
+        diagnosis_event=[diagnosis(1, 2, 1, BEFORE)],
+    )
+    assert surgery_history(warehouse).first().prior_af == 0
+
+
+def test_matrix_has_one_row_per_person(spark):
+    warehouse = clinic(
+        spark,
+        patient=[patient(1, 10, date(1950, 12, 31)), patient(2, 10), patient(3, 30), patient(4, None)],
+        coded_procedure=[
+            surgery(1, 1, date(1952, 1, 1)),
+            surgery(2, 2, AFTER),
+            surgery(3, 3),
+            surgery(4, 4),
+        ],
+        diagnosis_terminology=[(1, v.ICD9, "427.31", "427", None)],
+        diagnosis_event=[diagnosis(1, 4, 1, BEFORE)],
+    )
+    matrix = surgery_history(warehouse)
+    assert matrix.columns == [
+        "ir_id", "age", "race_1", "gender", "smoking", "copd", "prior_af", "hypertension",
+        "diabetes", "mitralValve", "hf", "myo",
+    ]
+    people = {r.ir_id: r for r in matrix.collect()}
+    assert set(people) == {10, 30, None} and matrix.count() == 3
+    assert people[10].age == 2  # two New Year's days, one elapsed year
+    # No person id, no match by person.
+    assert people[None].prior_af == 0
+    assert all(people[30][rule.name] == 0 for rule in v.HISTORY_CONDITIONS)
+
+
+def history_clinic(spark):
+    return clinic(
+        spark,
+        patient=[patient(n, 10 * n) for n in range(1, 6)],
+        coded_procedure=[surgery(n, n) for n in range(1, 6)],
+        diagnosis_terminology=[
+            (1, v.ICD10, "J44.9", "J44", None),
+            (2, v.ICD9, "496", "496", None),
+            (3, v.ICD10, "J40", "J40", None),
+            (4, v.ICD9, "250.1", "250", None),
+        ],
+        diagnosis_event=[
+            diagnosis(1, 1, 1, AFTER),
+            diagnosis(2, 1, 2, BEFORE),
+            diagnosis(3, 1, 2, AFTER),
+            diagnosis(4, 2, 1, None),
+            diagnosis(5, 2, 2, BEFORE),
+            diagnosis(6, 3, 2, AFTER),
+            diagnosis(7, 4, 2, BEFORE),
+            diagnosis(8, 4, 1, BEFORE),
+            diagnosis(9, 5, 2, None),
+        ],
+    )
+
+
+def test_history_flag_gives_the_earliest_event(spark):
+    warehouse = history_clinic(spark)
+    index = first_event(
+        cohort(warehouse, stay=False), "ir_id", "surgery_start_datetime", "surgical_case_key"
+    )
+    found = history_flag(
+        index,
+        warehouse.view("diagnosis_event"),
+        warehouse.view("diagnosis_terminology"),
+        v.COPD,
+        warehouse.view("diagnosis_event_profile"),
+        v.ACCEPTED_LOAD_TYPES,
+    )
+    assert rows(found.select("ir_id", "diagnosis_event_key", "diagnosis_code", "condition")) == [
+        (10, 2, "496", "copd"),
+        (20, 4, "J44.9", "copd"),  # undated comes first
+        (40, 7, "496", "copd"),  # tie broken by event key
+    ]
+
+
+def test_one_pass_matrix_equals_separate_flags(spark):
+    warehouse = history_clinic(spark)
+    index = first_event(
+        cohort(warehouse, stay=False), "ir_id", "procedure_name", "surgical_case_key"
+    )
+    flags = {
+        rule.name: history_flag(
+            index,
+            warehouse.view("diagnosis_event"),
+            warehouse.view("diagnosis_terminology"),
+            rule,
+            warehouse.view("diagnosis_event_profile"),
+            v.ACCEPTED_LOAD_TYPES,
+        )
+        for rule in v.HISTORY_CONDITIONS
+    }
+    assert rows(matrix_from_flags(index, flags)) == rows(surgery_history(warehouse))
+
+
+def test_rules_reject_nonsense():
+    with pytest.raises(ValueError):
+        Rule("x", (), "all")
+    with pytest.raises(ValueError):
+        Rule("x", (Branch(codes=("1",)),), "first")
+    with pytest.raises(ValueError):
+        Branch().condition()
+
+
+# -- medications -------------------------------------------------------------------
+
+
+def exposure_clinic(spark, **changes):
+    placed = datetime(2015, 1, 1)
+    order = lambda med, pat, profile=1: (med, pat, profile, placed, placed, None)
+    views = dict(
+        patient=[patient(1, 10), patient(2, 10), patient(3, 30)],
+        patient_current=[(10, 1), (10, 1), (10, 2), (30, 3)],
+        medication=[
+            (1, "LISINOPRIL 10 MG", None),
+            (2, None, "Olmesartan medoxomil"),
+            (3, "Hemangeol", None),
+            (4, "Hemangeol 4 MG", None),
+            (5, "Tylenol", "acetaminophen"),
+            (-1, "Lipitor", "atorvastatin"),
+            (0, "Lipitor", "atorvastatin"),
+        ],
+        medication_order=[
+            order(1, 1),
+            order(1, 1),  # duplicate
+            order(1, 2),
+            order(1, 3),  # not in the cohort
+            order(2, 1),
+            order(2, 2, profile=2),  # cancelled
+            order(3, 1),
+            order(4, 1),
+            order(5, 1),
+            order(-1, 1),
+            order(0, 1),
+        ],
+    )
+    return clinic(spark, **{**views, **changes})
+
+
+EXPOSED = [
+    ("ACE inhibitors", 1, 1, 10),
+    ("ACE inhibitors", 1, 2, 10),
+    ("ACE inhibitors", 2, 1, 10),
+    ("angiotensin II receptor blockers", 2, 1, 10),
+    ("beta_blocker", 3, 1, 10),
+]
+
+
+def exposed(spark, **kwargs):
+    person_ids = spark.createDataFrame([(10,), (99,)], "ir_id long")
+    found = drug_exposure(exposure_clinic(spark), person_ids, **kwargs)
+    assert found.columns == [
+        "med_class", "medication_key", "medication_name", "generic_name", "order_placed_datetime",
+        "order_start_datetime", "order_end_datetime", "patient_key", "ir_id",
+    ]
+    return rows(found.select("med_class", "medication_key", "patient_key", "ir_id"))
+
+
+def test_exposure(spark):
+    assert exposed(spark) == EXPOSED
+
+
+def test_exposure_case_sensitive(spark):
+    # LISINOPRIL is no longer matched by either spelling.
+    assert exposed(spark, case_sensitive=True) == [e for e in EXPOSED if e[1] != 1]
+
+
+def test_exposure_with_sides_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("cohortloom.operators.medications.is_small", lambda side: False)
+    monkeypatch.setattr("cohortloom.operators.sizing.is_small", lambda side, limit: False)
+    assert exposed(spark) == EXPOSED
+
+
+def test_exposure_does_not_depend_on_pattern_order(spark):
+    from dataclasses import replace
+
+    from cohortloom.functions.drugs import DRUG_CLASSES
+
+    turned = [
+        replace(c, either=c.either[::-1], brand=c.brand[::-1], generic=c.generic[::-1])
+        for c in reversed(DRUG_CLASSES)
+    ]
+    assert exposed(spark, classes=turned) == EXPOSED
