@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from cohortloom.functions.expressions import any_of, year_boundaries
 from cohortloom.functions.rules import Rule
 from cohortloom.operators.index import first_event
-from cohortloom.operators.sizing import is_small, look_up
-from cohortloom.operators.value_sets import accepted_loads
+from cohortloom.operators.sizing import are_small, keep_keys, look_up
+from cohortloom.operators.value_sets import load_keys
 
 
 def history_flag(
@@ -36,10 +36,14 @@ def history_flag(
     terms = terminology.where(rule.condition(case_sensitive=case_sensitive)).select(
         "diagnosis_key", "diagnosis_code", (~free).alias("guarded")
     )
-    hits = look_up(diagnoses, terms, "diagnosis_key").where(
+    loads = [] if profile is None else [load_keys(profile, load_types)]
+    small_terms, *small_loads = are_small(terms, *loads)
+    hits = look_up(diagnoses, terms, "diagnosis_key", small_terms).where(
         ~F.col("guarded") | F.col("start_date_key").isNotNull()
     )
-    hits = accepted_loads(hits, profile, load_types).select(
+    for keys, small in zip(loads, small_loads):
+        hits = keep_keys(hits, keys, small)
+    hits = hits.select(
         "patient_key", "guarded", "start_date_key", "diagnosis_event_key", "diagnosis_code"
     )
     tie_break = ["diagnosis_event_key", "diagnosis_code"]
@@ -94,10 +98,14 @@ def earliest_by_patient(
     they fit into a broadcast; a shuffled semi-join would move the events of a
     hot patient to one task, which the aggregation alone does not.
     """
-    hits = look_up(diagnoses, terms, "diagnosis_key")
-    if patients is not None and is_small(patients):
-        hits = hits.join(F.broadcast(patients), "patient_key", "left_semi")
-    hits = accepted_loads(hits, profile, load_types)
+    loads = [] if profile is None else [load_keys(profile, load_types)]
+    known = [] if patients is None else [patients.select("patient_key")]
+    small_terms, *others = are_small(terms, *known, *loads)
+    hits = look_up(diagnoses, terms, "diagnosis_key", small_terms)
+    if known and others.pop(0):
+        hits = keep_keys(hits, known[0], small=True)
+    for keys, small in zip(loads, others):
+        hits = keep_keys(hits, keys, small)
     marks = [c for c in terms.columns if c != "diagnosis_key"]
     return hits.groupBy("patient_key").agg(
         *[

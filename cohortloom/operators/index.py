@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.expressions import date_key_to_timestamp, normalized_name
-from cohortloom.operators.sizing import look_up
+from cohortloom.operators.sizing import are_small, look_up
 
 NO_ENCOUNTER = -2  # sentinel key: the procedure belongs to no inpatient encounter
 
@@ -43,7 +43,8 @@ def index_events(
     if encounters is not None:
         # The sentinel is a hot key: drop it before any shuffle on that key.
         performed = performed.where(F.col("encounter_inpatient_key") != NO_ENCOUNTER)
-    events = look_up(performed, qualifying, "procedure_key")
+    (small,) = are_small(qualifying)
+    events = look_up(performed, qualifying, "procedure_key", small)
     if encounters is not None:
         stays = encounters.select("encounter_inpatient_key", "discharge_datetime")
         events = events.join(stays, "encounter_inpatient_key")

@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.rules import DrugClass
-from cohortloom.operators.sizing import is_small, keep_keys
+from cohortloom.operators.sizing import are_small, keep_keys
 
 ORDER_TIMES = ("order_placed_datetime", "order_start_datetime", "order_end_datetime")
 
 
 def cohort_members(current_patients: DataFrame, person_ids: DataFrame) -> DataFrame:
     """Distinct (person, patient key) pairs of the persons listed in ``person_ids``."""
-    listed = current_patients.select("ir_id", "patient_key")
-    return keep_keys(listed, person_ids, "ir_id").distinct()
+    current = current_patients.select("ir_id", "patient_key")
+    return current.join(person_ids.select("ir_id"), "ir_id", "left_semi").distinct()
 
 
 def classify_medications(
@@ -67,17 +67,21 @@ def medication_exposure(
     would reuse that partitioning and so keep AQE from splitting a hot patient.
     """
     classified = classify_medications(medications, classes, case_sensitive).distinct()
+    accepted = order_profile.where(F.col("order_status").isin(*statuses))
+    accepted = accepted.select("medication_order_profile_key")
+    members = patients.select("patient_key", "ir_id").join(
+        cohort.select("patient_key"), "patient_key", "left_semi"
+    )
+    members = members.distinct()
+    small_classified, small_accepted, small_members = are_small(classified, accepted, members)
+
     placed = orders.where(F.col("medication_key") > 0)
-    if is_small(classified):
+    if small_classified:
+        placed = keep_keys(placed, classified.select("medication_key"), small=True)
         classified = F.broadcast(classified)
-        known = F.broadcast(classified.select("medication_key"))
-        placed = placed.join(known, "medication_key", "left_semi")
-    accepted = order_profile.where(F.col("order_status").isin(*statuses))
-    placed = keep_keys(placed, accepted, "medication_order_profile_key")
+    placed = keep_keys(placed, accepted, small_accepted)
     placed = placed.select("medication_key", *ORDER_TIMES, "patient_key")
-
-    members = keep_keys(patients.select("patient_key", "ir_id"), cohort, "patient_key").distinct()
-    if is_small(members):
+    if small_members:
         placed = placed.join(F.broadcast(members), "patient_key").distinct()
     else:
         placed = placed.distinct().join(members, "patient_key")

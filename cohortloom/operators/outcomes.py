@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.expressions import in_window
 from cohortloom.operators.index import ascending
-from cohortloom.operators.sizing import broadcast_if_small, keep_keys
-from cohortloom.operators.value_sets import accepted_loads
+from cohortloom.operators.sizing import broadcast_small
+from cohortloom.operators.value_sets import load_keys
 
 
 def events_for(
@@ -28,12 +28,19 @@ def events_for(
     load type before anything is shuffled. Set ``settled`` when ``index`` is
     materialized: it is then measured, and broadcast when it fits.
     """
-    dated = diagnoses.where(F.col("start_datetime").isNotNull())
-    hits = keep_keys(dated, value_keys, "diagnosis_key")
-    hits = accepted_loads(hits, profile, load_types).select("patient_key", "start_datetime")
     persons = index.select("ir_id", "patient_key")
+    value_keys = value_keys.select("diagnosis_key")
+    loads = [] if profile is None else [load_keys(profile, load_types)]
     if settled:
-        persons = broadcast_if_small(persons)
+        value_keys, persons, *loads = broadcast_small(value_keys, persons, *loads)
+    else:
+        value_keys, *loads = broadcast_small(value_keys, *loads)
+
+    hits = diagnoses.where(F.col("start_datetime").isNotNull())
+    hits = hits.join(value_keys, "diagnosis_key", "left_semi")
+    for keys in loads:
+        hits = hits.join(keys, "diagnosis_event_profile_key", "left_semi")
+    hits = hits.select("patient_key", "start_datetime")
     return hits.join(persons, "patient_key").select("ir_id", "start_datetime").distinct()
 
 
@@ -66,7 +73,7 @@ def label_outcomes(
     spread over several range partitions.
     """
     renamed = events.withColumnRenamed("start_datetime", label)
-    side = broadcast_if_small(index) if settled else index
+    (side,) = broadcast_small(index) if settled else (index,)
     matched = renamed.join(side, "ir_id").select(*columns)
     counts = events.groupBy("ir_id").agg(F.count(F.lit(1)).alias("_n"))
     unmatched = (

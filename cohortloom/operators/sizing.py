@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,46 +17,53 @@ FIXED_BYTES = 8  # any fixed-width value
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType, T.NullType)
 
 
-def measured_bytes(side: DataFrame) -> int | None:
-    """Estimated broadcast size of ``side``; None when it has nested columns.
-
-    One aggregate over ``side`` with partial sums in every task, so nothing but
-    the two totals reaches the driver.
-    """
-    per_row = ROW_BYTES
+def _totals(side: DataFrame, number: int) -> DataFrame | None:
+    """One row: the side's number and estimated size. None for nested columns."""
+    fixed = ROW_BYTES
     variable = F.lit(0).cast("long")
     for field in side.schema:
-        if isinstance(field.dataType, FIXED_WIDTH):
-            per_row += FIXED_BYTES
-        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            per_row += FIXED_BYTES
+        fixed += FIXED_BYTES
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             variable += F.coalesce(F.octet_length(side[field.name]), F.lit(0))
-        else:
+        elif not isinstance(field.dataType, FIXED_WIDTH):
             return None
-    rows, extra = side.agg(F.count(F.lit(1)), F.sum(variable)).first()
-    return rows * per_row + (extra or 0)
+    size = F.count(F.lit(1)) * fixed + F.coalesce(F.sum(variable), F.lit(0))
+    return side.agg(size.alias("size")).select(F.lit(number).alias("side"), "size")
 
 
-def is_small(side: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    size = measured_bytes(side)
-    return size is not None and size <= limit
+def measured_bytes(*sides: DataFrame) -> list[int | None]:
+    """Estimated broadcast size of each side; None if it has nested columns.
 
+    All sides are measured in one job. Each is summed within its tasks, so only
+    one number per side reaches the driver.
+    """
+    totals = [t for t in (_totals(s, n) for n, s in enumerate(sides)) if t is not None]
+    if not totals:
+        return [None] * len(sides)
+    found = dict(tuple(row) for row in reduce(DataFrame.unionAll, totals).collect())
+    return [found.get(n) for n in range(len(sides))]
 
-def broadcast_if_small(side: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``side`` with a broadcast hint if it measures within ``limit``."""
-    return F.broadcast(side) if is_small(side, limit) else side
 
+def are_small(*sides: DataFrame, limit: int | None = None) -> list[bool]:
+    """Which sides may be broadcast."""
+    bound = BROADCAST_BYTES if limit is None else limit
+    return [size is not None and size <= bound for size in measured_bytes(*sides)]
 
-def keep_keys(fact: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows of ``fact`` whose ``on`` value occurs in ``keys``.
 
-    Small key sets are broadcast, so the fact is filtered where it is scanned.
-    A large key set is a shuffled semi-join, where AQE splits a hot key.
-    """
-    return fact.join(broadcast_if_small(keys.select(on), limit), on, "left_semi")
+def broadcast_small(*sides: DataFrame, limit: int | None = None) -> list[DataFrame]:
+    """The sides, with a broadcast hint on those that are small enough."""
+    return [
+        F.broadcast(side) if small else side
+        for side, small in zip(sides, are_small(*sides, limit=limit))
+    ]
+
+
+def keep_keys(fact: DataFrame, keys: DataFrame, small: bool) -> DataFrame:
+    """Rows of ``fact`` whose values in the columns of ``keys`` occur there."""
+    return fact.join(F.broadcast(keys) if small else keys, keys.columns, "left_semi")
 
 
-def look_up(fact: DataFrame, dim: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def look_up(fact: DataFrame, dim: DataFrame, on: str, small: bool) -> DataFrame:
     """Rows of ``fact`` with the columns of their ``dim`` row.
 
     When ``dim`` is small its keys filter the fact first. Catalyst pushes such a
@@ -62,7 +71,7 @@ def look_up(fact: DataFrame, dim: DataFrame, on: str, limit: int = BROADCAST_BYT
     table that holds the key, as long as the view computes its columns below its
     joins. It does not do so for the inner join.
     """
-    if not is_small(dim, limit):
+    if not small:
         return fact.join(dim, on)
     kept = fact.join(F.broadcast(dim.select(on)), on, "left_semi")
     return kept.join(F.broadcast(dim), on)

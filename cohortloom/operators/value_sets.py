@@ -1,4 +1,4 @@
-"""Terminology lookups: keys of a value set, and key-restricted facts."""
+"""Lookups in dimensions: keys of a value set, of load types, and data profiles."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.rules import Rule
-from cohortloom.operators.sizing import keep_keys
 
 
 def value_set(terminology: DataFrame, rule: Rule, case_sensitive: bool = False) -> DataFrame:
@@ -20,14 +19,10 @@ def value_set(terminology: DataFrame, rule: Rule, case_sensitive: bool = False)
     )
 
 
-def accepted_loads(
-    diagnoses: DataFrame, profile: DataFrame | None, load_types: Sequence[str] | None
-) -> DataFrame:
-    """Diagnosis events whose profile has one of the load types."""
-    if profile is None:
-        return diagnoses
-    keys = profile.where(F.col("load_type").isin(*load_types))
-    return keep_keys(diagnoses, keys, "diagnosis_event_profile_key")
+def load_keys(profile: DataFrame, load_types: Sequence[str]) -> DataFrame:
+    """Profile keys of diagnosis events with one of the load types."""
+    accepted = profile.where(F.col("load_type").isin(*load_types))
+    return accepted.select("diagnosis_event_profile_key")
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

@@ -20,7 +20,7 @@ from cohortloom.operators.medications import (
 )
 from cohortloom.operators.numbering import global_row_number
 from cohortloom.operators.outcomes import events_for, label_outcomes, within_window
-from cohortloom.operators.sizing import keep_keys
+from cohortloom.operators.sizing import broadcast_small
 from cohortloom.operators.value_sets import distinct_values, point_lookup, value_set
 from cohortloom.plans.studies import (
     TIE_BREAK,
@@ -352,7 +352,8 @@ def cohort_semi_join(spark, folder):
     listed = a.table("customer").where(F.col("c_acctbal") > 9000)
     keys = listed.select(F.col("c_custkey").alias("o_custkey"))
     orders = a.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return portable(keep_keys(orders, keys, "o_custkey"))
+    (keys,) = broadcast_small(keys)
+    return portable(orders.join(keys, "o_custkey", "left_semi"))
 
 
 @query

@@ -19,9 +19,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def fact_scans(text: str) -> int:
-    return text.count("l_orderkey#") and sum(
-        "FileScan" in line and "l_orderkey" in line for line in text.splitlines()
-    )
+    return sum("FileScan" in line and "l_orderkey" in line for line in text.splitlines())
 
 
 def test_first_event_limits_groups_before_the_shuffle(spark):
@@ -90,15 +88,19 @@ def test_settle_uses_the_configured_folder(spark):
 
 def test_sides_are_broadcast_by_measured_size_only(spark):
     frame = spark.createDataFrame([(n, "x" * 100) for n in range(50)], "k long, t string")
-    assert sizing.measured_bytes(frame) == 50 * (32 + 8 + 8 + 100)
-    assert sizing.measured_bytes(frame.limit(0)) == 0
-    assert sizing.measured_bytes(frame.select(F.array("k").alias("a"))) is None
+    nested = frame.select(F.array("k").alias("a"))
+    sizes = sizing.measured_bytes(frame, nested, frame.limit(0))
+    assert sizes == [50 * (32 + 8 + 8 + 100), None, 0]
+    assert sizing.measured_bytes(nested) == [None]
+    assert sizing.are_small(frame, nested) == [True, False]
     fact = spark.range(1000).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan_text(sizing.keep_keys(fact, frame, "k"))
-        assert "BroadcastHashJoin" not in plan_text(sizing.keep_keys(fact, frame, "k", limit=100))
-        small, large = sizing.look_up(fact, frame, "k"), sizing.look_up(fact, frame, "k", limit=100)
+        (hinted,) = sizing.broadcast_small(frame)
+        (plain,) = sizing.broadcast_small(frame, limit=100)
+        assert "BroadcastHashJoin" in plan_text(fact.join(hinted, "k", "left_semi"))
+        assert "BroadcastHashJoin" not in plan_text(fact.join(plain, "k", "left_semi"))
+        small, large = (sizing.look_up(fact, frame, "k", s) for s in (True, False))
         assert "SortMergeJoin" in plan_text(large) and "SortMergeJoin" not in plan_text(small)
         assert sorted(small.collect()) == sorted(large.collect())
     finally:
@@ -161,8 +163,7 @@ def splitting(spark, monkeypatch):
     old = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    monkeypatch.setattr(sizing, "is_small", lambda side, limit=0: False)
-    monkeypatch.setattr("cohortloom.operators.history.is_small", lambda side: False)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
     yield
     for key, value in old.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -202,84 +202,90 @@ def test_outcomes_during_the_stay_are_half_open(spark):
 # -- history ---------------------------------------------------------------------
 
 
-def flags_for(spark, code_set, code, base, name, day, profile=1, **extra):
-    """The conditions set by one event of the only person."""
+def flags_for(spark, events):
+    """The conditions of each person, given one (term..., day) event per person."""
+    people = range(1, len(events) + 1)
     warehouse = clinic(
         spark,
-        patient=[patient(1, 10)],
-        coded_procedure=[surgery(1, 1)],
-        diagnosis_terminology=[(1, code_set, code, base, name)],
-        diagnosis_event=[diagnosis(1, 1, 1, day, profile)],
-        **extra,
+        patient=[patient(n, n) for n in people],
+        coded_procedure=[surgery(n, n) for n in people],
+        diagnosis_terminology=[(n, *events[n - 1][:4]) for n in people],
+        diagnosis_event=[diagnosis(n, n, n, events[n - 1][4]) for n in people],
     )
-    row = surgery_history(warehouse).first().asDict()
-    return {rule.name for rule in v.HISTORY_CONDITIONS if row[rule.name]}
-
-
-@pytest.mark.parametrize(
-    ("code_set", "code", "base", "name", "expected"),
-    [
-        (v.ICD9, "401.9", "401", None, {"hypertension"}),
-        (v.ICD9, "405", "405", None, {"hypertension"}),
-        (v.ICD9, "4011", "4011", None, {"hypertension"}),
-        (v.ICD9, "405.1", "405.1", None, set()),
-        (v.ICD10, "I16.9", "I16", None, {"hypertension"}),
-        (v.ICD10, "I16.0", "I16.0", None, set()),
-        (v.SNOMED, "401", "401", None, set()),
-        (v.ICD9, "427.31", "427", None, {"prior_af"}),
-        (v.SNOMED, "427.31", "427", None, {"prior_af"}),
-        (v.ICD10, "I48", "I48", None, {"prior_af"}),
-        (v.ICD10, "I48.0", "I48", None, set()),
-        (v.ICD9, "250.00", "250", None, {"diabetes"}),
-        (v.ICD10, "E12.1", "E12", None, set()),
-        (v.SNOMED, "44054006", None, None, {"diabetes"}),
-        (v.ICD9, "44054006", None, None, set()),
-        ("LOCAL", None, None, "Diabetes type 2 mellitus", {"diabetes"}),
-        ("LOCAL", None, None, "mellitus diabetes", set()),
-        (None, None, None, "Smoker", {"smoking"}),
-        ("LOCAL", "F17.21", "F17", None, {"smoking"}),
-        ("LOCAL", "F17.3", "F17", "cigars", {"smoking"}),
-        (v.ICD10, "I34.0", "I34", None, {"mitralValve"}),
-        (v.ICD10, "I50.9", "I50", None, {"hf"}),
-        (v.ICD9, "402.91", "402", None, {"hf", "hypertension"}),
-        (v.ICD9, "410.1", "410", None, {"myo"}),
-        (v.ICD10, "J44.9", "J44", None, {"copd"}),
-        (v.ICD9, "J44.9", "J44", None, set()),
-        (v.ICD9, "496", "496", None, {"copd"}),
-    ],
-)
-def test_conditions_before_surgery(spark, code_set, code, base, name, expected):
-    assert flags_for(spark, code_set, code, base, name, BEFORE) == expected
-
-
-@pytest.mark.parametrize(
-    ("code_set", "code", "base", "name", "expected"),
-    [
-        (v.ICD10, "J44.9", "J44", None, {"copd"}),  # the guard covers the other branch
-        (v.ICD9, "496", "496", None, set()),
-        (None, None, None, "smoker", {"smoking"}),
-        ("LOCAL", "305.1", None, None, {"smoking"}),
-        ("LOCAL", "F17.21", "F17", None, set()),
-        (v.ICD9, "427.31", "427", None, set()),
-        ("LOCAL", None, None, "diabetes mellitus", set()),
-    ],
-)
-@pytest.mark.parametrize("day", [INDEX_DAY, AFTER, None])
-def test_conditions_not_before_surgery(spark, code_set, code, base, name, expected, day):
-    assert flags_for(spark, code_set, code, base, name, day) == expected
+    found = {}
+    for row in surgery_history(warehouse).collect():
+        found[events[row.ir_id - 1]] = {r.name for r in v.HISTORY_CONDITIONS if row[r.name]}
+    return found
+
+
+def test_conditions_before_surgery(spark):
+    expected = {
+        (v.ICD9, "401.9", "401", None): {"hypertension"},
+        (v.ICD9, "405", "405", None): {"hypertension"},
+        (v.ICD9, "4011", "4011", None): {"hypertension"},
+        (v.ICD9, "405.1", "405.1", None): set(),
+        (v.ICD10, "I16.9", "I16", None): {"hypertension"},
+        (v.ICD10, "I15.9", "I15.9", None): {"hypertension"},
+        (v.ICD10, "I16.0", "I16.0", None): set(),
+        (v.SNOMED, "401", "401", None): set(),
+        (v.ICD9, "427.31", "427", None): {"prior_af"},
+        (v.SNOMED, "427.31", "427", None): {"prior_af"},
+        (v.ICD10, "I48", "I48", None): {"prior_af"},
+        (v.ICD10, "I48.0", "I48", None): set(),
+        (v.ICD9, "250.00", "250", None): {"diabetes"},
+        (v.ICD10, "E12.1", "E12", None): set(),
+        (v.SNOMED, "44054006", None, None): {"diabetes"},
+        (v.ICD9, "44054006", None, None): set(),
+        ("LOCAL", None, None, "Diabetes type 2 mellitus"): {"diabetes"},
+        ("LOCAL", None, None, "mellitus diabetes"): set(),
+        (None, None, None, "Smoker"): {"smoking"},
+        ("LOCAL", "F17.21", "F17", None): {"smoking"},
+        ("LOCAL", "F17.3", "F17", "cigars"): {"smoking"},
+        ("LOCAL", "F17.3", "F17", None): set(),
+        (v.ICD10, "I34.0", "I34", None): {"mitralValve"},
+        (v.ICD10, "X424.0", None, None): {"mitralValve"},
+        (v.ICD10, "I50.9", "I50", None): {"hf"},
+        (v.ICD9, "402.91", "402", None): {"hf", "hypertension"},
+        (v.ICD9, "410.1", "410", None): {"myo"},
+        (v.ICD10, "I25.10", "I25", None): {"myo"},
+        (v.ICD10, "J44.9", "J44", None): {"copd"},
+        (v.ICD9, "J44.9", "J44", None): set(),
+        (v.ICD9, "496", "496", None): {"copd"},
+        (None, None, None, None): set(),
+    }
+    found = flags_for(spark, [(*term, BEFORE) for term in expected])
+    assert found == {(*term, BEFORE): names for term, names in expected.items()}
+
+
+def test_conditions_not_before_surgery(spark):
+    expected = {
+        (v.ICD10, "J44.9", "J44", None): {"copd"},  # the guard covers the other branch
+        (v.ICD9, "496", "496", None): set(),
+        (None, None, None, "smoker"): {"smoking"},
+        ("LOCAL", "305.1", None, None): {"smoking"},
+        ("LOCAL", "F17.21", "F17", None): set(),
+        (v.ICD9, "427.31", "427", None): set(),
+        ("LOCAL", None, None, "diabetes mellitus"): set(),
+    }
+    days = (INDEX_DAY, AFTER, None)
+    found = flags_for(spark, [(*term, day) for term in expected for day in days])
+    assert found == {(*term, day): names for term, names in expected.items() for day in days}
 
 
 def test_load_type_and_other_key(spark):
-    args = (v.ICD9, "427.31", "427", None)
-    assert flags_for(spark, *args, BEFORE, profile=2) == set()
     warehouse = clinic(
         spark,
-        patient=[patient(1, 10), patient(2, 10)],
-        coded_procedure=[surgery(1, 1)],
-        diagnosis_terminology=[(1, *args)],
-        diagnosis_event=[diagnosis(1, 2, 1, BEFORE)],
+        patient=[patient(1, 10), patient(2, 10), patient(3, 30), patient(4, 40)],
+        coded_procedure=[surgery(1, 1), surgery(3, 3), surgery(4, 4)],
+        diagnosis_terminology=[(1, v.ICD9, "427.31", "427", None)],
+        diagnosis_event=[
+            diagnosis(1, 2, 1, BEFORE),  # person 10's other key
+            diagnosis(2, 3, 1, BEFORE, profile=2),  # load type that does not count
+            diagnosis(3, 4, 1, BEFORE),
+        ],
     )
-    assert surgery_history(warehouse).first().prior_af == 0
+    found = {r.ir_id: r.prior_af for r in surgery_history(warehouse).collect()}
+    assert found == {10: 0, 30: 0, 40: 1}
 
 
 def test_matrix_has_one_row_per_person(spark):
@@ -445,8 +451,7 @@ def test_exposure_case_sensitive(spark):
 
 
 def test_exposure_with_sides_too_large_to_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("cohortloom.operators.medications.is_small", lambda side: False)
-    monkeypatch.setattr("cohortloom.operators.sizing.is_small", lambda side, limit: False)
+    monkeypatch.setattr("cohortloom.operators.sizing.BROADCAST_BYTES", -1)
     assert exposed(spark) == EXPOSED
 
 
