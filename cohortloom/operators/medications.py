@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.rules import DrugClass
+from cohortloom.operators.materialize import settle
 from cohortloom.operators.sizing import are_small, keep_keys
 
 ORDER_TIMES = ("order_placed_datetime", "order_start_datetime", "order_end_datetime")
@@ -65,14 +66,17 @@ def medication_exposure(
     columns is distinct itself, so one pass of duplicate removal is enough. It
     comes before a shuffled join on ``patient_key``, never after it: there it
     would reuse that partitioning and so keep AQE from splitting a hot patient.
+    The classified medications and the cohort's keys are materialized: they are
+    measured and then read, and only a side that comes straight from a shuffle
+    lets AQE split the other one.
     """
-    classified = classify_medications(medications, classes, case_sensitive).distinct()
+    classified = settle(classify_medications(medications, classes, case_sensitive).distinct())
     accepted = order_profile.where(F.col("order_status").isin(*statuses))
     accepted = accepted.select("medication_order_profile_key")
     members = patients.select("patient_key", "ir_id").join(
         cohort.select("patient_key"), "patient_key", "left_semi"
     )
-    members = members.distinct()
+    members = settle(members.distinct())
     small_classified, small_accepted, small_members = are_small(classified, accepted, members)
 
     placed = orders.where(F.col("medication_key") > 0)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.expressions import in_window
 from cohortloom.operators.index import ascending
-from cohortloom.operators.sizing import broadcast_small
+from cohortloom.operators.materialize import settle
+from cohortloom.operators.sizing import are_small, broadcast_small, keep_keys
 from cohortloom.operators.value_sets import load_keys
 
 
@@ -31,15 +32,14 @@ def events_for(
     persons = index.select("ir_id", "patient_key")
     value_keys = value_keys.select("diagnosis_key")
     loads = [] if profile is None else [load_keys(profile, load_types)]
-    if settled:
-        value_keys, persons, *loads = broadcast_small(value_keys, persons, *loads)
-    else:
-        value_keys, *loads = broadcast_small(value_keys, *loads)
+    lookups = [value_keys, *loads]
+    small_lookups = are_small(*lookups, *([persons] if settled else []))
+    if settled and small_lookups.pop():
+        persons = F.broadcast(persons)
 
     hits = diagnoses.where(F.col("start_datetime").isNotNull())
-    hits = hits.join(value_keys, "diagnosis_key", "left_semi")
-    for keys in loads:
-        hits = hits.join(keys, "diagnosis_event_profile_key", "left_semi")
+    for keys, small in zip(lookups, small_lookups):
+        hits = keep_keys(hits, keys, small)
     hits = hits.select("patient_key", "start_datetime")
     return hits.join(persons, "patient_key").select("ir_id", "start_datetime").distinct()
 
@@ -69,11 +69,14 @@ def label_outcomes(
     them, rather than asking whether there are any, makes both parts need the
     same distinct events, which are then computed once and their exchange reused.
 
-    The sort ends in the event time, so that a person with very many events is
+    ``index`` is read by both parts and is materialized unless ``settled`` says
+    that it is. The sort ends in the event time, so that a person with very many events is
     spread over several range partitions.
     """
     renamed = events.withColumnRenamed("start_datetime", label)
-    (side,) = broadcast_small(index) if settled else (index,)
+    if not settled:
+        index = settle(index)
+    (side,) = broadcast_small(index)
     matched = renamed.join(side, "ir_id").select(*columns)
     counts = events.groupBy("ir_id").agg(F.count(F.lit(1)).alias("_n"))
     unmatched = (

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.operators.materialize import settle
+
 # Largest side that is broadcast, in estimated bytes. Beyond it the join is left
 # to Catalyst and AQE, which shuffle both sides and split skewed partitions.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -59,8 +61,14 @@ def broadcast_small(*sides: DataFrame, limit: int | None = None) -> list[DataFra
 
 
 def keep_keys(fact: DataFrame, keys: DataFrame, small: bool) -> DataFrame:
-    """Rows of ``fact`` whose values in the columns of ``keys`` occur there."""
-    return fact.join(F.broadcast(keys) if small else keys, keys.columns, "left_semi")
+    """Rows of ``fact`` whose values in the columns of ``keys`` occur there.
+
+    Large keys are materialized first. AQE splits a hot key only when both sides
+    of the join come straight from a shuffle, and keys made by a distinct would
+    hand their own partitioning to the join instead.
+    """
+    keys = F.broadcast(keys) if small else settle(keys)
+    return fact.join(keys, keys.columns, "left_semi")
 
 
 def look_up(fact: DataFrame, dim: DataFrame, on: str, small: bool) -> DataFrame:

@@ -7,13 +7,15 @@ from plan_tools import final_plan, plan_text
 from pyspark.sql import functions as F
 
 import query_catalog as q
-from cohortloom.functions.rules import Branch, Rule
+from cohortloom.functions.rules import Branch, DrugClass, Rule
 from cohortloom.operators import sizing
 from cohortloom.operators.history import covariate_matrix, history_flag
 from cohortloom.operators.index import first_event
 from cohortloom.operators.materialize import ensure_checkpoint_dir, settle
+from cohortloom.operators.medications import ORDER_TIMES, medication_exposure
 from cohortloom.operators.numbering import global_row_number
 from cohortloom.operators.outcomes import events_for, label_outcomes
+from cohortloom.operators.value_sets import value_set
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -155,6 +157,7 @@ def splitting(spark, monkeypatch):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -177,10 +180,10 @@ def expected_events(skewed):
 
 def test_skewed_outcome_labels(spark, skewed, splitting):
     events, terms, index = skewed
-    keys = terms.where("diagnosis_code = 'a'").select("diagnosis_key")
-    found = events_for(index, events, keys)
+    found = events_for(index, events, value_set(terms, RULES[0]))
     text = final_plan(found)
-    assert "skew=true" in text
+    assert "BroadcastHashJoin" not in text
+    assert text.count("skew=true") == 2  # the diagnosis keys and the patient
     labelled = label_outcomes(index, found)
     text = final_plan(labelled)
     assert "ReusedExchange" in text and "skew=true" in text
@@ -214,6 +217,55 @@ def test_skewed_history(spark, skewed, splitting):
     assert "row_number(), 1, Partial" in plan_text(flagged)
 
 
+def test_skewed_exposure(spark, splitting):
+    """One patient and one medication hold a third of the orders each."""
+    n = F.col("id")
+    moment = (F.lit(START) + F.make_dt_interval(n % 20011)).cast("timestamp_ntz")
+    orders = settle(
+        spark.range(0, 60000, numPartitions=16).select(
+            F.when(n % 3 == 0, 1).otherwise(n % 200 + 1).alias("medication_key"),
+            F.when(n % 3 == 1, 0).otherwise(n % 1000).alias("patient_key"),
+            (n % 7).alias("medication_order_profile_key"),
+            *[moment.alias(c) for c in ORDER_TIMES],
+        )
+    )
+    medications = settle(
+        spark.range(1, 201).select(
+            n.alias("medication_key"),
+            F.concat(F.lit("Lipitor "), n % 2, F.lit(" mg "), n).alias("medication_name"),
+            F.lit("aspirin").alias("generic_name"),
+        )
+    )
+    profile = settle(
+        spark.range(7).select(
+            n.alias("medication_order_profile_key"),
+            F.when(n < 6, "Sent").otherwise("Cancelled").alias("order_status"),
+        )
+    )
+    patients = settle(spark.range(1000).select(n.alias("patient_key"), (n * 10).alias("ir_id")))
+    classes = (DrugClass("odd", brand=("%1 mg%",)), DrugClass("any", generic=("aspirin",)))
+    exposure = medication_exposure(
+        medications, orders, profile, patients.where("ir_id < 9000"), patients, classes, ["Sent"]
+    )
+    found = {
+        (r.med_class, r.medication_key, r.order_start_datetime, r.patient_key, r.ir_id)
+        for r in exposure.collect()
+    }
+    expected = set()
+    for o in orders.collect():
+        if o.medication_order_profile_key < 6 and o.patient_key < 900:
+            row = (o.medication_key, o.order_start_datetime, o.patient_key, o.patient_key * 10)
+            expected.add(("any", *row))
+            if o.medication_key % 2:
+                expected.add(("odd", *row))
+    assert found == expected
+    assert exposure.count() == len(expected)
+    text = final_plan(exposure)
+    assert "BroadcastHashJoin" not in text
+    # The hot profile key, the hot patient and the hot medication.
+    assert text.count("skew=true") == 3
+
+
 def test_skewed_first_event(spark, skewed):
     events, _, _ = skewed
     first = first_event(events, "patient_key", "start_datetime", "diagnosis_event_key")
