@@ -66,29 +66,30 @@ def medication_exposure(
     columns is distinct itself, so one pass of duplicate removal is enough. It
     comes before a shuffled join on ``patient_key``, never after it: there it
     would reuse that partitioning and so keep AQE from splitting a hot patient.
-    The classified medications and the cohort's keys are materialized: they are
-    measured and then read, and only a side that comes straight from a shuffle
-    lets AQE split the other one.
+    Large classified medications or cohort keys are materialized, since only a
+    side that comes straight from a shuffle lets AQE split the other one.
     """
-    classified = settle(classify_medications(medications, classes, case_sensitive).distinct())
+    classified = classify_medications(medications, classes, case_sensitive).distinct()
     accepted = order_profile.where(F.col("order_status").isin(*statuses))
     accepted = accepted.select("medication_order_profile_key")
     members = patients.select("patient_key", "ir_id").join(
         cohort.select("patient_key"), "patient_key", "left_semi"
     )
-    members = settle(members.distinct())
+    members = members.distinct()
     small_classified, small_accepted, small_members = are_small(classified, accepted, members)
 
     placed = orders.where(F.col("medication_key") > 0)
     if small_classified:
         placed = keep_keys(placed, classified.select("medication_key"), small=True)
         classified = F.broadcast(classified)
+    else:
+        classified = settle(classified)
     placed = keep_keys(placed, accepted, small_accepted)
     placed = placed.select("medication_key", *ORDER_TIMES, "patient_key")
     if small_members:
         placed = placed.join(F.broadcast(members), "patient_key").distinct()
     else:
-        placed = placed.distinct().join(members, "patient_key")
+        placed = placed.distinct().join(settle(members), "patient_key")
     exposure = placed.join(classified, "medication_key")
     return exposure.select(
         "med_class",
