@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortloom.llm import quality_rules
+from cohortloom.llm import quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +29,14 @@ def op1_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rules = quality_rules.fit(docs, table(spark, folder, "labels"))
     return quality_rules.assess(docs, rules).drop("text")
+
+
+@query
+def op9_simhash(spark, folder):
+    """No SQL: DuckDB has no XXH64. tests/llm checks it by brute force."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        simhash.hex_digits().alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
