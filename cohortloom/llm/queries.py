@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import quality_rules, simhash
+from cohortloom.llm import quality_rules, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +40,27 @@ def op9_simhash(spark, folder):
         simhash.hex_digits().alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op7_substring_dedup(spark, folder):
+    found = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op7_substring_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+    SELECT doc_id, s, words[s:s + 12] AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS s FROM d)
+), least AS (SELECT gram, min(doc_id) AS first FROM w GROUP BY gram),
+hits AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS place
+    FROM w JOIN least USING (gram) WHERE first < doc_id
+), gone AS (SELECT doc_id, list(place) AS places FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN words
+           ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id
+"""
