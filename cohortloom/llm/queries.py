@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import quality_rules, simhash, substring_dedup
+from cohortloom.llm import packing, quality_rules, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +64,9 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
            ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id
 """
+
+
+@query
+def op6_packing(spark, folder):
+    """No SQL: a tokenizer and a linear program. tests/llm unpacks it and compares the ids."""
+    return packing.pack(table(spark, folder, "documents"))
