@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,7 @@ from cohortloom.operators.materialize import settle
 SHINGLE = 4
 RADIUS = 4
 SAMPLE = 16_384  # fingerprints that the tree is fitted on, at most
-SHARD_POINTS = 2_048  # fingerprints a shard is meant to have
-MEMBERS, QUERIES = 4_096, 65_536  # a cell has so many of each, at most by expectation
+MEMBERS, QUERIES = 8_192, 65_536  # a cell has so many of each, at most by expectation
 
 
 def fingerprint(text: str | None) -> int:
@@ -149,7 +149,9 @@ def _shard_links(points: DataFrame, radius: int) -> DataFrame:
     sample = (
         points.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE, total // share)).select("fp").collect()
     )
-    wanted = max(1, total // SHARD_POINTS).bit_length() - 1
+    # A ball overlaps most shards of a deep tree: with one shard for every 8 sqrt(n) points,
+    # copies of points and comparisons in a shard both grow more slowly than pairs would.
+    wanted = max(1, isqrt(total) // 8).bit_length() - 1
     depth = min(wanted, max(0, (len(sample) // 16).bit_length() - 1))
     tree = VantageTree(np.array([r.fp for r in sample], np.int64).view(np.uint64), depth)
     shared = spark.sparkContext.broadcast(tree)
