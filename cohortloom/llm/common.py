@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,3 +24,18 @@ def fresh(taken: Iterable[str], base: str) -> str:
 def word_count(text: Column) -> Column:
     """Words of a text as bigint, 0 for null; evaluated in the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def word_chunks(texts: list[str | None], limit: int) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Consecutive texts as words, with the position of the first; up to ``limit`` words
+    together, or one longer text."""
+    first, some, size = 0, [], 0
+    for i, text in enumerate(texts):
+        words = text.encode().split() if text else []
+        if some and size + len(words) > limit:
+            yield first, some
+            first, some, size = i, [], 0
+        some.append(words)
+        size += len(words)
+    if some:
+        yield first, some

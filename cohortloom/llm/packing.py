@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -36,11 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from cohortloom.llm.common import word_chunks
 from cohortloom.operators.materialize import settle
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+MARK = "\x01"  # one token between words that are encoded together
+CHUNK_WORDS = 300_000  # words of texts that are encoded together
 ROUNDS = 24
 TOLERANCE = 0.002  # of the capacity or of the best price
 PIECES_PER_SALT = 100_000
@@ -52,11 +57,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class TokenCache(dict):
-    """Ids of a word as little-endian bytes.
+class TokenCache:
+    """Ids of words as little-endian bytes.
 
-    The tokenizer drops white space and neither normalizes nor merges across it, so a text's ids are
-    those of its words in a row.
+    The tokenizer drops white space and neither normalizes nor merges across it, so a text's
+    ids are those of its words in a row. Words met for the first time are encoded together.
     """
 
     def __init__(self, path: str):
@@ -64,18 +69,40 @@ class TokenCache(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        data = np.array(ids, "<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = data
-        return data
-
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split())) if text else b""
+        self.ids: dict[bytes, bytes] = {}
+        (self.mark,) = self._each([MARK])[0]
+
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words many at a time, with a mark of one known id between them."""
+        plain = [w for w in words if MARK.encode() not in w]
+        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+        joint = self._each([f" {MARK} ".join(w.decode() for w in group) for group in groups])
+        for group, found in zip(groups, joint):
+            ids = np.array(found, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
+            data, at = ids.tobytes(), 0
+            for word, stop in zip(group, ends):
+                self.ids[word] = data[4 * at : 4 * stop]
+                at = stop + 1
+        odd = [w for w in words if MARK.encode() in w]
+        for word, found in zip(odd, self._each([w.decode() for w in odd])):
+            self.ids[word] = array("I", found).tobytes()
+
+    def encode(self, texts: list[list[bytes]]) -> Iterator[bytes]:
+        """The ids of each text, given as its words."""
+        new = list(set(chain.from_iterable(texts)).difference(self.ids))
+        for at in range(0, len(new), 8_192):
+            self._learn(new[at : at + 8_192])
+        for words in texts:
+            yield b"".join(map(self.ids.__getitem__, words))
+        for word in new:
+            if len(word) > 64:
+                del self.ids[word]
+        if len(self.ids) > CACHED_WORDS:
+            self.ids.clear()
 
 
 @lru_cache(maxsize=1)
@@ -89,7 +116,7 @@ def pieces(
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]): every document's ids with the end token, cut."""
     path = tokenizer or default_tokenizer()
-    end = np.array([END_ID], "<u4").tobytes()
+    end = array("I", [END_ID]).tobytes()
     id_type = docs.schema[id_column].dataType
     fields = [
         T.StructField("id", id_type), T.StructField("piece", T.IntegerType()),
@@ -105,8 +132,10 @@ def pieces(
         size = 4 * capacity
         for batch in batches:
             row, piece, length, crc, ids = [], [], [], [], []
-            for i, value in enumerate(batch.column(1).to_pylist()):
-                data = cache.encode(value) + end
+            texts = word_chunks(batch.column(1).to_pylist(), CHUNK_WORDS)
+            encoded = chain.from_iterable(cache.encode(words) for _, words in texts)
+            for i, data in enumerate(encoded):
+                data += end
                 for k in range(0, len(data), size):
                     part = data[k : k + size]
                     row.append(i)

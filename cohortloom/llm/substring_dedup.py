@@ -26,7 +26,6 @@ words; repeated rows give repeated result rows. Only the id and text columns are
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +34,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm.common import word_chunks
 from cohortloom.operators.materialize import settle
 
 THRESHOLD = 13
@@ -108,20 +108,6 @@ class Words:
         return _mix(self.span(start, start + threshold))
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Consecutive texts as words, with the position of the first, up to CHUNK_WORDS together."""
-    first, some, size = 0, [], 0
-    for i, text in enumerate(texts):
-        words = text.encode().split() if text else []
-        if some and size + len(words) > CHUNK_WORDS:
-            yield first, some
-            first, some, size = i, [], 0
-        some.append(words)
-        size += len(words)
-    if some:
-        yield first, some
-
-
 _FIELDS = "route long, part long, id long, mark int, known boolean"
 
 
@@ -147,7 +133,7 @@ def _anchors(threshold: int):
         for batch in batches:
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             found = []
-            for first, texts in _chunks(batch.column(2).to_pylist()):
+            for first, texts in word_chunks(batch.column(2).to_pylist(), CHUNK_WORDS):
                 words = Words(texts, cache)
                 anchor, context, start, _ = words.occurrences(threshold)
                 found.append((anchor, context, first + words.doc[start]))
@@ -222,7 +208,7 @@ def _windows(threshold: int):
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             wanted = batch.column(3)
             found = []
-            for at, texts in _chunks(batch.column(2).to_pylist()):
+            for at, texts in word_chunks(batch.column(2).to_pylist(), CHUNK_WORDS):
                 words = Words(texts, cache)
                 anchor, context, first, last = words.occurrences(threshold)
                 chosen = _members(words.doc[first], context, wanted.slice(at, len(texts)))
@@ -259,7 +245,7 @@ def _cut(threshold: int):
             texts = batch.column(1).to_pylist()
             contexts, windows = batch.column(2), batch.column(3)
             totals, gone, kept, digests = [], [], [], []
-            for at, some in _chunks(texts):
+            for at, some in word_chunks(texts, CHUNK_WORDS):
                 words = Words(some, cache)
                 _, context, first, last = words.occurrences(threshold)
                 n = len(words.hashes)
