@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import packing, quality_rules, simhash, substring_dedup
+from cohortloom.llm import common, mixing, packing, quality_rules, sharding, simhash, substring_dedup
+from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +71,71 @@ FROM d LEFT JOIN gone ON gone.doc_id = d.doc_id
 def op6_packing(spark, folder):
     """No SQL: a tokenizer and a linear program. tests/llm unpacks it and compares the ids."""
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op3_mixing(spark, folder):
+    docs = table(spark, folder, "documents")
+    sizes = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("n_words"))
+    mixed = mixing.mix(settle(sizes), size=F.col("n_words"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op3_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source,
+           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 15) AS BIGINT) AS key
+    FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM d GROUP BY source
+), r AS (
+    SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
+           row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS turn FROM s
+), p AS (
+    SELECT *, coalesce(sum(cap) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS caps,
+           sum(weight) OVER (ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM r
+), c AS (SELECT *, weight * (CAST(total - caps AS DOUBLE) / weights) > cap AS capped FROM p),
+u AS (
+    SELECT CAST(any_value(total) - coalesce(sum(cap) FILTER (capped), 0) AS DOUBLE)
+           / sum(weight) FILTER (NOT capped) AS share FROM c
+), t AS (
+    SELECT source, source_size,
+           CASE WHEN capped THEN CAST(cap AS DOUBLE) ELSE weight * (SELECT share FROM u) END AS target FROM c
+), x AS (
+    SELECT d.*, source_size, target, CAST(floor(target) AS BIGINT) AS budget,
+           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+           + greatest(0, least(size, budget % source_size - earlier)) END AS BIGINT) AS taken
+FROM x
+"""
+
+
+@query
+def op8_sharding(spark, folder):
+    placed = sharding.shard(table(spark, folder, "documents"))
+    return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes")
+
+
+SQL["op8_sharding"] = """
+WITH d AS (
+    SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
+           lpad(bin(CAST('0x' || substr(md5(coalesce('k' || CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)),
+                60, '0') AS bits
+    FROM documents
+), p AS (
+    SELECT *, CAST(unnest(range(0, 61)) AS INTEGER) AS depth FROM d
+), b AS (
+    SELECT depth, substr(bits, 1, depth) AS shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes
+    FROM p GROUP BY ALL HAVING sum(n_bytes) <= 1048576
+)
+SELECT doc_id, n_bytes, b.shard, b.depth, b.shard_bytes
+FROM d JOIN b ON substr(bits, 1, b.depth) = b.shard
+QUALIFY b.depth = min(b.depth) OVER (PARTITION BY doc_id)
+"""
