@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import common, mixing, packing, quality_rules, sharding, simhash, substring_dedup
+from cohortloom.llm import ann, common, mixing, packing, quality_rules, sharding, simhash, substring_dedup
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,9 @@ SELECT doc_id, n_bytes, b.shard, b.depth, b.shard_bytes
 FROM d JOIN b ON substr(bits, 1, b.depth) = b.shard
 QUALIFY b.depth = min(b.depth) OVER (PARTITION BY doc_id)
 """
+
+
+@query
+def op5_ann(spark, folder):
+    """No SQL: the search is approximate. tests/llm measures its recall by brute force."""
+    return ann.nearest(table(spark, folder, "embeddings"))
