@@ -68,7 +68,7 @@ class Words:
         if len(cache) > CACHED_WORDS:
             cache.clear()
         for words in texts:
-            for word in set(words) - cache.keys():
+            for word in set(words).difference(cache):
                 cache[word] = xxhash.xxh64_intdigest(word)
         self.hashes = np.fromiter((cache[w] for words in texts for w in words), np.uint64)
         self.doc = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
