@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, mixing, packing, quality_rules, sharding, simhash, substring_dedup
+from cohortloom.llm import ann, common, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,44 @@ QUALIFY b.depth = min(b.depth) OVER (PARTITION BY doc_id)
 def op5_ann(spark, folder):
     """No SQL: the search is approximate. tests/llm measures its recall by brute force."""
     return ann.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_line_dedup(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    host, lines = line_dedup.host_of(F.col("url")), line_dedup.html_lines(F.col("html"))
+    kept = line_dedup.drop_boilerplate(pages.withColumn("host", host), F.col("host"), lines)
+    blank = lambda x: F.length(F.btrim(x, F.lit(common.BLANKS))) > 0
+    before, after = F.filter(lines, blank), F.filter("lines", blank)
+    return kept.select(
+        "page_id",
+        "host",
+        F.coalesce(F.size(before), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.size(after).cast("bigint").alias("n_kept"),
+        F.sha2(F.array_join(after, "\n"), 256).alias("kept_sha256"),
+    )
+
+
+SQL["op2_line_dedup"] = r"""
+WITH p AS (
+    SELECT page_id, row_number() OVER () AS row,
+           lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+           list_filter(coalesce(string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)), []),
+               lambda x: length(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) > 0) AS lines
+    FROM pages
+), l AS (
+    SELECT row, host, line, place, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM (SELECT row, host, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM p)
+), t AS (SELECT host, count(*) AS total FROM p GROUP BY host),
+c AS (SELECT host, bare, count(DISTINCT row) AS n FROM l GROUP BY host, bare),
+bad AS (
+    SELECT c.host, bare FROM c JOIN t ON c.host IS NOT DISTINCT FROM t.host WHERE n >= 3 AND n > 0.1 * total
+), k AS (
+    SELECT row, count(*) AS n_kept, string_agg(line, chr(10) ORDER BY place) AS kept
+    FROM l LEFT JOIN bad ON l.host IS NOT DISTINCT FROM bad.host AND l.bare = bad.bare
+    WHERE bad.bare IS NULL GROUP BY row
+)
+SELECT page_id, host, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_kept, 0) AS n_kept,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM p LEFT JOIN k ON p.row = k.row
+"""
