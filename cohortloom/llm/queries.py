@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup
+from cohortloom.llm import ann, common, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,27 @@ SELECT page_id, host, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_kept, 0)
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM p LEFT JOIN k ON p.row = k.row
 """
+
+
+@query
+def op4_warc(spark, folder):
+    out = warc.scratch_folder(spark)
+    warc.write(table(spark, folder, "pages"), out)
+    return warc.read(spark, out).drop("url")
+
+
+SQL["op4_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+m AS (SELECT hex, max(page_id) AS newest FROM p GROUP BY hex),
+b AS (
+    SELECT DISTINCT hex, list_aggregate(list_transform(range(32), lambda i:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(5), lambda k:
+            (((strpos('0123456789abcdef', hex[1 + (5 * i + k) // 4]) - 1)
+              >> (3 - (5 * i + k) % 4)) & 1) << (4 - k)))::INTEGER]), 'string_agg', '') AS digest
+    FROM p
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM p JOIN m USING (hex) JOIN b USING (hex)
+"""
