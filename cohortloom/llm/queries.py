@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
+from cohortloom.llm import ann, common, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +210,12 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload
        CASE WHEN page_id <> newest THEN newest END AS refers_to
 FROM p JOIN m USING (hex) JOIN b USING (hex)
 """
+
+
+@query
+def op10_license_scan(spark, folder):
+    """tests/llm compares it with a plain scan; the sums of weights are no business of SQL."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    lines = line_dedup.html_lines(F.col("html"))
+    found = license_scan.scan(pages, license_scan.url_path(F.col("url")), lines)
+    return found.select("page_id", "own_licence", "own_score", "licence", "inherited_from")
