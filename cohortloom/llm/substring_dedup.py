@@ -26,6 +26,7 @@ words; repeated rows give repeated result rows. Only the id and text columns are
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -207,8 +208,10 @@ def _windows(threshold: int):
         for batch in batches:
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             wanted = batch.column(3)
+            listed = _lengths(wanted) > 0
+            bodies = [t.as_py() if has else None for t, has in zip(batch.column(2), listed)]
             found = []
-            for at, texts in word_chunks(batch.column(2).to_pylist(), CHUNK_WORDS):
+            for at, texts in word_chunks(bodies, CHUNK_WORDS):
                 words = Words(texts, cache)
                 anchor, context, first, last = words.occurrences(threshold)
                 chosen = _members(words.doc[first], context, wanted.slice(at, len(texts)))
@@ -222,9 +225,13 @@ def _windows(threshold: int):
     return emit
 
 
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def _members(doc: np.ndarray, value: np.ndarray, lists: pa.Array) -> np.ndarray:
     """Whether each value is in the list of its document."""
-    own = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    own = np.repeat(np.arange(len(lists)), _lengths(lists))
     listed = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     return np.isin(_mix(value + doc.astype(np.uint64) * _U(_BASE)), _mix(listed + own.astype(np.uint64) * _U(_BASE)))
 
@@ -244,9 +251,11 @@ def _cut(threshold: int):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             contexts, windows = batch.column(2), batch.column(3)
+            marked = (_lengths(contexts) + _lengths(windows) > 0).tolist()
             totals, gone, kept, digests = [], [], [], []
             for at, some in word_chunks(texts, CHUNK_WORDS):
-                words = Words(some, cache)
+                touched = marked[at : at + len(some)]
+                words = Words([own if has else [] for own, has in zip(some, touched)], cache)
                 _, context, first, last = words.occurrences(threshold)
                 n = len(words.hashes)
                 whole = _members(words.doc[first], context, contexts.slice(at, len(some)))
@@ -257,10 +266,11 @@ def _cut(threshold: int):
                 np.add.at(edge, np.concatenate([last[whole], single]) + threshold, -1)
                 stays = np.cumsum(edge)[:n] == 0
                 place = 0
-                for own in some:
-                    flags = stays[place : place + len(own)]
-                    place += len(own)
-                    left = own if flags.all() else [w for w, k in zip(own, flags.tolist()) if k]
+                for own, has in zip(some, touched):
+                    left = own
+                    if has:
+                        left = list(compress(own, stays[place : place + len(own)].tolist()))
+                        place += len(own)
                     text = b" ".join(left)
                     totals.append(len(own))
                     gone.append(len(own) - len(left))
@@ -301,11 +311,10 @@ def remove_repeats(
             F.collect_set(F.when(~F.col("covered"), F.col("part"))).alias("open"),
         )
     )
-    extend = texts.join(matched.filter(F.size("open") > 0).select(*key, "open"), key)
+    # An outer join like the last one, so that both read the same shuffle of the texts.
+    extend = texts.join(matched.select(*key, "open"), key, "left")
     windows = extend.select(*key, "text", "open").mapInArrow(_windows(threshold), _FIELDS)
-    singles = settle(
-        _matched(windows).filter("covered").groupBy(*key).agg(F.collect_set("part").alias("windows"))
-    )
+    singles = _matched(windows).filter("covered").groupBy(*key).agg(F.collect_set("part").alias("windows"))
     marked = texts.join(matched.drop("open"), key, "left").join(singles, key, "left")
     return marked.select("id", "text", "contexts", "windows").mapInArrow(
         _cut(threshold),
