@@ -206,7 +206,8 @@ def _windows(threshold: int):
     def emit(batches):
         cache: dict[bytes, int] = {}
         for batch in batches:
-            ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            # Null ids have no lists, so no rows come of them.
+            ids, marks = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in (0, 1))
             wanted = batch.column(3)
             listed = _lengths(wanted) > 0
             bodies = [t.as_py() if has else None for t, has in zip(batch.column(2), listed)]
