@@ -46,7 +46,7 @@ END_ID = 1
 CACHED_WORDS = 600_000
 MARK = "\x01"  # one token between words that are encoded together
 CHUNK_WORDS = 300_000  # words of texts that are encoded together
-ROUNDS = 24
+ROUNDS = 8
 TOLERANCE = 0.002  # of the capacity or of the best price
 PIECES_PER_SALT = 100_000
 
@@ -201,7 +201,10 @@ def _configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, roun
             while (i := int(take[room])) >= 0:
                 used[i] = used.get(i, 0) + 1
                 room -= int(sizes[i])
-            if room > TOLERANCE * capacity or any(n > counts[due[i]] for i, n in used.items()):
+                if used[i] > counts[due[i]]:  # there are not so many
+                    room = capacity
+                    break
+            if room > TOLERANCE * capacity:
                 continue
             raise_by = step * min(counts[due[i]] / n for i, n in used.items())
             for i, n in used.items():
