@@ -59,7 +59,8 @@ def all_of(conditions: list[Column]) -> Column:
 
 
 # Up to this many patterns are ORed as LIKE tests. A long OR makes a generated
-# method that the JVM does not compile; one regular expression does not.
+# method that the JVM does not compile; one regular expression does not. Both
+# forms find the same texts: neither has an escape character.
 LIKE_TESTS = 12
 
 
@@ -71,6 +72,30 @@ def _like_regex(pattern: str) -> str:
     return start + "".join(wild.get(c) or re.escape(c) for c in pattern.strip("%")) + end
 
 
+def _like(text: Column, pattern: str) -> Column:
+    """LIKE in which the backslash is a character like any other."""
+    unused = next(c for c in map(chr, range(1, len(pattern) + 2)) if c not in pattern)
+    return F.like(text, F.lit(pattern), F.lit(unused))
+
+
+def uncovered(patterns: Sequence[str]) -> list[str]:
+    """The patterns without those that a plain ``%text%`` of the list covers.
+
+    What ``%sacubitril%valsartan%`` matches contains valsartan, so ``%valsartan%``
+    matches it too.
+    """
+    kept: list[str] = []
+    plain: list[str] = []
+    for pattern in sorted(dict.fromkeys(patterns), key=len):
+        if any(core in run for core in plain for run in re.split("[%_]", pattern)):
+            continue
+        kept.append(pattern)
+        core = pattern.strip("%")
+        if core and pattern[0] == pattern[-1] == "%" and not re.search("[%_]", core):
+            plain.append(core)
+    return [p for p in dict.fromkeys(patterns) if p in kept]
+
+
 def like_any(text: Column, patterns: Sequence[str], case_sensitive: bool = False) -> Column:
     """TRUE when ``text`` matches any LIKE pattern (``%`` and ``_``, no escapes).
 
@@ -80,8 +105,8 @@ def like_any(text: Column, patterns: Sequence[str], case_sensitive: bool = False
     if not case_sensitive:
         text = F.lower(text)
         patterns = [p.lower() for p in patterns]
-    patterns = list(dict.fromkeys(patterns))
+    patterns = uncovered(patterns)
     if len(patterns) <= LIKE_TESTS:
-        return any_of([text.like(p) for p in patterns])
+        return any_of([_like(text, p) for p in patterns])
     # (?s) lets % span line breaks; "\z", unlike $, is the very end of the text.
     return text.rlike("(?s)" + "|".join(_like_regex(p) for p in patterns))

@@ -51,14 +51,17 @@ class Rule:
 
     ``guard_scope`` is ``"all"`` when the before-index guard covers every
     branch, or ``"last_branch"`` when it covers only the last one, as in SQL
-    that writes ``a OR b AND guard`` without parentheses.
+    that writes ``a OR b AND guard`` without parentheses. ``name`` is the matrix
+    column; ``label`` is what rows of the condition say, by default the name.
     """
 
     name: str
     branches: tuple[Branch, ...]
     guard_scope: str = "all"
+    label: str | None = None
 
     def __post_init__(self):
+        object.__setattr__(self, "label", self.label or self.name)
         if self.guard_scope not in ("all", "last_branch"):
             raise ValueError(f"unknown guard_scope: {self.guard_scope}")
         if not self.branches:

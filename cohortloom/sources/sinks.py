@@ -6,5 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header. Every task writes its own part file under ``path``."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header. Every task writes its own part file under ``path``.
+
+    Quotes inside a field are doubled, as other readers expect. NULL is an empty
+    field, an empty text is a quoted one.
+    """
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)

@@ -25,12 +25,10 @@ def load(
 def load_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     """A catalog table by one-, two- or three-part name.
 
-    ``database`` becomes the session's current database first, so that shorter
-    names resolve in it.
+    A one-part name is looked up in ``database`` if that is given. The session's
+    current database stays as it is.
     """
-    if database is not None:
-        spark.catalog.setCurrentDatabase(database)
-    return spark.table(name)
+    return spark.table(name if database is None or "." in name else f"{database}.{name}")
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:
@@ -60,9 +58,18 @@ class Warehouse:
         return cls(lambda view: load(spark, folder, view), **kwargs)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str], **kwargs) -> Warehouse:
-        """``names`` maps view names to table names, e.g. ``{"patient": "dw.dim.patient"}``."""
-        return cls(lambda view: load_table(spark, names[view]), **kwargs)
+    def from_catalog(
+        cls,
+        spark: SparkSession,
+        names: Mapping[str, str],
+        database: str | None = None,
+        **kwargs,
+    ) -> Warehouse:
+        """``names`` maps view names to table names, e.g. ``{"patient": "dw.dim.patient"}``.
+
+        One-part names are looked up in ``database`` if that is given.
+        """
+        return cls(lambda view: load_table(spark, names[view], database), **kwargs)
 
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame], **kwargs) -> Warehouse:
