@@ -14,53 +14,98 @@ from cohortloom.operators.sizing import are_small, keep_keys, look_up
 from cohortloom.operators.value_sets import load_keys
 
 
-def history_flag(
+def of_patients(events: DataFrame, patients: DataFrame, small: bool) -> DataFrame:
+    """Rows of ``events`` under the patient keys of ``patients``, which is materialized.
+
+    Both sides of a shuffled join come straight from a shuffle then, so AQE can
+    split a hot patient.
+    """
+    keys = patients.select("patient_key")
+    return events.join(F.broadcast(keys) if small else keys, "patient_key", "left_semi")
+
+
+def history_firsts(
     index: DataFrame,
     diagnoses: DataFrame,
     terminology: DataFrame,
-    rule: Rule,
+    rules: Sequence[Rule],
     profile: DataFrame | None = None,
     load_types: Sequence[str] | None = None,
     case_sensitive: bool = False,
+    settled: bool = False,
 ) -> DataFrame:
-    """Each person's earliest event of one condition, with the condition's name.
+    """Each person's earliest event of each condition, with the condition's label.
 
     Guarded branches need an event strictly before the index date; events of
     unguarded branches count whenever they are, and an undated one comes first.
 
-    A patient's earliest event precedes the index date exactly if any does, so
-    the facts shrink to at most two candidates per patient (guarded and not)
-    before they meet the index, however many events a patient has.
+    The fact is read once for all rules. A patient's earliest event precedes the
+    index date exactly if any does, so the facts shrink to at most two candidates
+    per patient and rule (guarded and not) before they meet the index, however
+    many events a patient has. Set ``settled`` when ``index`` is materialized: the
+    fact is then limited to the indexed patients before anything is aggregated.
     """
-    free = rule.condition(guarded=False, case_sensitive=case_sensitive)
-    terms = terminology.where(rule.condition(case_sensitive=case_sensitive)).select(
-        "diagnosis_key", "diagnosis_code", (~free).alias("guarded")
+    marks = [
+        F.when(
+            rule.condition(case_sensitive=case_sensitive),
+            F.struct(
+                F.lit(number).alias("rule"),
+                (~rule.condition(guarded=False, case_sensitive=case_sensitive)).alias("guarded"),
+            ),
+        )
+        for number, rule in enumerate(rules)
+    ]
+    terms = (
+        terminology.select("diagnosis_key", "diagnosis_code", F.explode(F.array(*marks)).alias("m"))
+        .where(F.col("m").isNotNull())
+        .select("diagnosis_key", "diagnosis_code", "m.rule", "m.guarded")
     )
     loads = [] if profile is None else [load_keys(profile, load_types)]
-    small_terms, *small_loads = are_small(terms, *loads)
-    hits = look_up(diagnoses, terms, "diagnosis_key", small_terms).where(
+    patients = [index.select("patient_key")] if settled else []
+    small_terms, *others = are_small(terms, *patients, *loads)
+    hits = diagnoses
+    if settled:
+        hits = of_patients(hits, patients[0], others.pop(0))
+    for keys, small in zip(loads, others):
+        hits = keep_keys(hits, keys, small)
+    hits = look_up(hits, terms, "diagnosis_key", small_terms).where(
         ~F.col("guarded") | F.col("start_date_key").isNotNull()
     )
-    for keys, small in zip(loads, small_loads):
-        hits = keep_keys(hits, keys, small)
     hits = hits.select(
-        "patient_key", "guarded", "start_date_key", "diagnosis_event_key", "diagnosis_code"
+        "patient_key", "rule", "guarded", "start_date_key", "diagnosis_event_key", "diagnosis_code"
     )
     tie_break = ["diagnosis_event_key", "diagnosis_code"]
-    candidates = first_event(hits, ["patient_key", "guarded"], "start_date_key", tie_break)
+    candidates = first_event(hits, ["patient_key", "rule", "guarded"], "start_date_key", tie_break)
     before = F.col("surgery_start_date_key") > F.col("start_date_key")
     counted = (
         index.select("ir_id", "patient_key", "surgery_start_date_key")
         .join(candidates, "patient_key")
         .where(~F.col("guarded") | before)
     )
-    return first_event(counted, "ir_id", "start_date_key", tie_break).select(
+    labels = F.array(*(F.lit(rule.label) for rule in rules))
+    return first_event(counted, ["ir_id", "rule"], "start_date_key", tie_break).select(
         "ir_id",
         "surgery_start_date_key",
         "start_date_key",
         "diagnosis_event_key",
         "diagnosis_code",
-        F.lit(rule.name).alias("condition"),
+        F.get(labels, F.col("rule")).alias("condition"),
+    )
+
+
+def history_flag(
+    index: DataFrame,
+    diagnoses: DataFrame,
+    terminology: DataFrame,
+    rule: Rule,
+    profile: DataFrame | None = None,
+    load_types: Sequence[str] | None = None,
+    case_sensitive: bool = False,
+    settled: bool = False,
+) -> DataFrame:
+    """:func:`history_firsts` of one condition."""
+    return history_firsts(
+        index, diagnoses, terminology, [rule], profile, load_types, case_sensitive, settled
     )
 
 
@@ -94,16 +139,15 @@ def earliest_by_patient(
 
     The fact is scanned once for all rules. Dates are aggregated within each
     task before the shuffle on ``patient_key``, so a patient with very many
-    events sends one row per task. ``patients`` limits the work to known keys if
-    they fit into a broadcast; a shuffled semi-join would move the events of a
-    hot patient to one task, which the aggregation alone does not.
+    events sends one row per task. ``patients``, which must be materialized,
+    limits the work to known keys.
     """
     loads = [] if profile is None else [load_keys(profile, load_types)]
     known = [] if patients is None else [patients.select("patient_key")]
     small_terms, *others = are_small(terms, *known, *loads)
     hits = look_up(diagnoses, terms, "diagnosis_key", small_terms)
-    if known and others.pop(0):
-        hits = keep_keys(hits, known[0], small=True)
+    if known:
+        hits = of_patients(hits, known[0], others.pop(0))
     for keys, small in zip(loads, others):
         hits = keep_keys(hits, keys, small)
     marks = [c for c in terms.columns if c != "diagnosis_key"]
@@ -131,8 +175,8 @@ def history_flags(
 
     The row count is that of ``index``. A row without a person id gets zeros, as
     it could not be matched by person. Set ``settled`` when ``index`` is
-    materialized: if its keys fit into a broadcast, the fact is then cut down to
-    the indexed patients before anything is shuffled.
+    materialized: the fact is then cut down to the indexed patients before
+    anything is aggregated.
     """
     terms = condition_terms(terminology, rules, case_sensitive)
     patients = index.select("patient_key") if settled else None
@@ -206,3 +250,16 @@ def matrix_from_flags(index: DataFrame, flags: dict[str, DataFrame]) -> DataFram
         "gender",
         *[F.col(f"_{n}").isNotNull().cast("int").alias(n) for n in flags],
     )
+
+
+def matrix_from_firsts(index: DataFrame, firsts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The same matrix from one :func:`history_firsts` result, in one join."""
+    marks = [
+        F.max((F.col("condition") == rule.label).cast("int")).alias(rule.name) for rule in rules
+    ]
+    found = firsts.groupBy("ir_id").agg(*marks)
+    age = year_boundaries(F.col("birth_date"), F.col("surgery_start_datetime"))
+    flags = [F.coalesce(F.col(r.name), F.lit(0)).alias(r.name) for r in rules]
+    return index.join(found, "ir_id", "left").select(
+        "ir_id", age.alias("age"), "race_1", "gender", *flags
+    )

@@ -66,10 +66,11 @@ def medication_exposure(
     columns is distinct itself, so one pass of duplicate removal is enough. It
     comes before a shuffled join on ``patient_key``, never after it: there it
     would reuse that partitioning and so keep AQE from splitting a hot patient.
-    Large classified medications or cohort keys are materialized, since only a
-    side that comes straight from a shuffle lets AQE split the other one.
+    Classified medications and large cohort keys are materialized: the patterns
+    then run once, and only a side that comes straight from a shuffle lets AQE
+    split the other one.
     """
-    classified = classify_medications(medications, classes, case_sensitive).distinct()
+    classified = settle(classify_medications(medications, classes, case_sensitive).distinct())
     accepted = order_profile.where(F.col("order_status").isin(*statuses))
     accepted = accepted.select("medication_order_profile_key")
     members = patients.select("patient_key", "ir_id").join(
@@ -82,8 +83,6 @@ def medication_exposure(
     if small_classified:
         placed = keep_keys(placed, classified.select("medication_key"), small=True)
         classified = F.broadcast(classified)
-    else:
-        classified = settle(classified)
     placed = keep_keys(placed, accepted, small_accepted)
     placed = placed.select("medication_key", *ORDER_TIMES, "patient_key")
     if small_members:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.expressions import in_window
 from cohortloom.operators.index import ascending
 from cohortloom.operators.materialize import settle
-from cohortloom.operators.sizing import are_small, broadcast_small, keep_keys
+from cohortloom.operators.sizing import are_small, keep_keys
 from cohortloom.operators.value_sets import load_keys
 
 
@@ -21,20 +21,23 @@ def events_for(
     profile: DataFrame | None = None,
     load_types: Sequence[str] | None = None,
     settled: bool = False,
+    small_index: bool | None = None,
 ) -> DataFrame:
     """Distinct (person, start time) of the value set's dated events.
 
     Events are those of the patient key on the person's index row; events under
     the person's other keys do not count. The fact is filtered by value set and
     load type before anything is shuffled. Set ``settled`` when ``index`` is
-    materialized: it is then measured, and broadcast when it fits.
+    materialized: it is then measured, unless ``small_index`` says what that
+    would find, and broadcast when it fits.
     """
     persons = index.select("ir_id", "patient_key")
     value_keys = value_keys.select("diagnosis_key")
     loads = [] if profile is None else [load_keys(profile, load_types)]
     lookups = [value_keys, *loads]
-    small_lookups = are_small(*lookups, *([persons] if settled else []))
-    if settled and small_lookups.pop():
+    measure = settled and small_index is None
+    small_lookups = are_small(*lookups, *([persons] if measure else []))
+    if small_lookups.pop() if measure else small_index:
         persons = F.broadcast(persons)
 
     hits = diagnoses.where(F.col("start_datetime").isNotNull())
@@ -59,6 +62,7 @@ def label_outcomes(
     label: str = "AF_dxDate",
     ordered: bool = True,
     settled: bool = False,
+    small_index: bool | None = None,
 ) -> DataFrame:
     """Index rows with every event time of the person; NULL for a person with none.
 
@@ -76,7 +80,9 @@ def label_outcomes(
     renamed = events.withColumnRenamed("start_datetime", label)
     if not settled:
         index = settle(index)
-    (side,) = broadcast_small(index)
+    if small_index is None:
+        (small_index,) = are_small(index)
+    side = F.broadcast(index) if small_index else index
     matched = renamed.join(side, "ir_id").select(*columns)
     counts = events.groupBy("ir_id").agg(F.count(F.lit(1)).alias("_n"))
     unmatched = (

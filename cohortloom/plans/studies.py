@@ -13,6 +13,7 @@ from cohortloom.operators.index import first_event, index_events
 from cohortloom.operators.materialize import settle
 from cohortloom.operators.medications import cohort_members, medication_exposure
 from cohortloom.operators.outcomes import events_for, label_outcomes, within_window
+from cohortloom.operators.sizing import are_small
 from cohortloom.operators.value_sets import value_set
 from cohortloom.sources.warehouse import Warehouse
 
@@ -52,6 +53,7 @@ def surgery_outcomes(
             "discharge_datetime",
         )
     )
+    (small_index,) = are_small(index)
     events = events_for(
         index,
         warehouse.view("diagnosis_event"),
@@ -59,8 +61,9 @@ def surgery_outcomes(
         warehouse.view("diagnosis_event_profile"),
         load_types,
         settled=True,
+        small_index=small_index,
     )
-    labelled = label_outcomes(index, events, settled=True)
+    labelled = label_outcomes(index, events, settled=True, small_index=small_index)
     return within_window(labelled) if during_stay else labelled
 
 
@@ -71,6 +74,7 @@ def surgery_history(
     code_types: Sequence[str] = vocabulary.PROCEDURE_CODE_TYPES,
     load_types: Sequence[str] = vocabulary.ACCEPTED_LOAD_TYPES,
     index_order: str = "procedure_name",
+    case_sensitive: bool = False,
 ) -> DataFrame:
     """One row per surgical person: age, race, gender and conditions before surgery.
 
@@ -105,6 +109,7 @@ def surgery_history(
         conditions,
         warehouse.view("diagnosis_event_profile"),
         load_types,
+        case_sensitive,
         settled=True,
     )
 

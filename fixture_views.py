@@ -16,10 +16,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.functions.drugs import DRUG_CLASSES
-from cohortloom.functions.vocabulary import AF_OUTCOME, BYPASS_CODES, HISTORY_CONDITIONS
 from cohortloom.operators.index import NO_ENCOUNTER
 from cohortloom.sources import Warehouse, load
+from oracle_values import CONDITION_CODES, DRUG_PATTERNS, split, surgery_codes
 
 BASE_TABLES = {
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
@@ -211,7 +210,7 @@ def procedure_entries() -> list[tuple]:
     systems = {5: "CPT", 7: "ICD10"}
     listed = [
         ("ICD9" if "." in code else systems[len(code)], code, f"Bypass {n} at 50% o'clock")
-        for n, code in enumerate(BYPASS_CODES)
+        for n, code in enumerate(surgery_codes())
     ]
     other = [
         ("CPT", "33515", "Not a bypass"),
@@ -225,12 +224,13 @@ def procedure_entries() -> list[tuple]:
 def term_entries() -> list[tuple]:
     """(code set, code, base, name) around every criterion of every condition."""
     rows = []
-    for rule in (*HISTORY_CONDITIONS, AF_OUTCOME):
-        for branch in rule.branches:
-            for code_set in (*(branch.code_sets or ("ICD-9-CM",)), "LOCAL"):
-                rows += [(code_set, c, c.split(".")[0], "Entry") for c in branch.codes]
-                for base in (*branch.bases, *(branch.base_between or ())):
-                    rows.append((code_set, f"{base}.7", base, None))
+    for _, system, kind, codes in CONDITION_CODES:
+        for code_set in (system or "ICD-9-CM", "LOCAL"):
+            for code in codes.split():
+                if kind == "code":
+                    rows.append((code_set, code, code.split(".")[0], "Entry"))
+                else:
+                    rows.append((code_set, f"{code}.7", code, None))
     rows += [
         ("ICD-9-CM", "4011", "4011", "Inside a text range"),
         ("ICD-9-CM", "405.1", "405.1", "Above a text range"),
@@ -253,14 +253,15 @@ def term_entries() -> list[tuple]:
 def drug_entries() -> list[tuple]:
     """(brand, generic): a name for every pattern, near misses, and other drugs."""
     rows = []
-    for drug_class in DRUG_CLASSES:
-        for n, (column, pattern) in enumerate(drug_class.patterns()):
+    for _, *lists in DRUG_PATTERNS:
+        named = [(column, p) for column, patterns in enumerate(lists) for p in split(patterns)]
+        for n, (column, pattern) in enumerate(named):
             name = pattern.strip("%").replace("%", " x ")
             name = ("Oral " if pattern.startswith("%") else "") + name
             name += " 10 MG" if pattern.endswith("%") else ""
             name = (name, name.upper(), name.lower())[n % 3]
             other = None if n % 2 else "unlisted"
-            rows.append((name, other) if column == "medication_name" else (other, name))
+            rows.append((other, name) if column else (name, other))
     rows += [
         ("Hemangeol 4 MG", None),
         (None, "Doxazosin mesylate"),

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from cohortloom.functions import drugs, vocabulary
 from cohortloom.functions.expressions import presence_flag, year_boundaries
 from cohortloom.functions.rules import Branch, DrugClass, Rule
-from cohortloom.operators.history import covariate_matrix, history_flag, matrix_from_flags
+from cohortloom.operators.history import (
+    covariate_matrix,
+    history_firsts,
+    history_flag,
+    matrix_from_firsts,
+)
 from cohortloom.operators.index import first_event, index_events
 from cohortloom.operators.materialize import settle
 from cohortloom.operators.medications import (
@@ -28,6 +33,7 @@ from cohortloom.plans.studies import (
     surgery_history,
     surgery_outcomes,
 )
+from cohortloom.sources import Warehouse, replace_view
 from fixture_views import Analogue, clinical_warehouse
 
 TYPES = ("PROMO", "ECONOMY", "SMALL")
@@ -285,14 +291,13 @@ def covariates(spark, folder):
 
 @query
 def covariates_from_flags(spark, folder):
-    """The same matrix for two conditions, put together from separate flags."""
+    """The same matrix, put together from the earliest events of all conditions."""
     a = Analogue(spark, folder)
     index = settle(analogue_index(a, a.patients_with_birth))
-    flags = {
-        r.name: history_flag(index, a.diagnoses, a.terminology, r, a.profile, LOADS)
-        for r in (STRING_RANGE, CODE_PAIRS)
-    }
-    return matrix_from_flags(index, flags)
+    firsts = history_firsts(
+        index, a.diagnoses, a.terminology, MATRIX_RULES, a.profile, LOADS, settled=True
+    )
+    return matrix_from_firsts(index, firsts, MATRIX_RULES)
 
 
 @query
@@ -332,7 +337,7 @@ def analogue_exposure(spark, folder, case_sensitive: bool) -> DataFrame:
         STATUSES,
         case_sensitive=case_sensitive,
     )
-    return portable(exposure.drop("order_end_datetime"))
+    return portable(exposure)
 
 
 @query
@@ -420,7 +425,9 @@ def study_classified_medications(spark, folder):
     return classify_medications(medications, drugs.DRUG_CLASSES)
 
 
-def clinical_history(spark, folder, rules: Sequence[Rule]) -> DataFrame:
+@query
+def study_first_history_events(spark, folder):
+    """Earliest event of every condition; undated ones come first where they count."""
     warehouse = clinical_warehouse(spark, folder)
     surgeries = index_events(
         warehouse.view("coded_procedure"),
@@ -428,27 +435,33 @@ def clinical_history(spark, folder, rules: Sequence[Rule]) -> DataFrame:
         warehouse.view("patient"),
         vocabulary.PROCEDURE_CODE_TYPES,
         vocabulary.BYPASS_CODES,
-    ).where(F.col("ir_id").isNotNull())
-    index = first_event(surgeries, "ir_id", "surgery_start_datetime", TIE_BREAK)
-    index = settle(index.select("ir_id", "patient_key", "surgery_start_date_key"))
-    found = [
-        history_flag(
-            index,
-            warehouse.view("diagnosis_event"),
-            warehouse.view("diagnosis_terminology"),
-            rule,
-            warehouse.view("diagnosis_event_profile"),
-            vocabulary.ACCEPTED_LOAD_TYPES,
-        )
-        for rule in rules
-    ]
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
-    return portable(whole, *HISTORY_COLUMNS)
+    )
+    tie_break = ("surgery_start_datetime", *TIE_BREAK)
+    index = first_event(surgeries, "ir_id", "procedure_name", tie_break)
+    found = history_firsts(
+        settle(index.select("ir_id", "patient_key", "surgery_start_date_key")),
+        warehouse.view("diagnosis_event"),
+        warehouse.view("diagnosis_terminology"),
+        vocabulary.HISTORY_CONDITIONS,
+        warehouse.view("diagnosis_event_profile"),
+        vocabulary.ACCEPTED_LOAD_TYPES,
+        settled=True,
+    )
+    return portable(found, *HISTORY_COLUMNS)
 
 
 @query
-def study_first_history_events(spark, folder):
-    """Earliest event of each condition; undated ones come first where they count."""
-    return clinical_history(spark, folder, (vocabulary.COPD, vocabulary.SMOKING, vocabulary.DIABETES))
+def catalog_view_by_name(spark, folder):
+    """Patients through a name in the session's catalog, as a warehouse reads them."""
+    clinical_warehouse(spark, folder).view("patient").createOrReplaceTempView("vw_patient")
+    warehouse = Warehouse.from_catalog(spark, {"patient": "vw_patient"})
+    return portable(warehouse.view("patient").select("patient_key", "ir_id", "race_1", "gender"))
+
+
+@query
+def named_intermediate_replaced(spark, folder):
+    """A named intermediate, written over, then read by SQL."""
+    orders = Analogue(spark, folder).table("orders")
+    replace_view(orders.where(F.col("o_orderstatus") == "P"), "stage_orders")
+    replace_view(orders.where(F.col("o_orderstatus") == "F"), "stage_orders")
+    return spark.sql("SELECT o_custkey, count(*) AS n FROM stage_orders GROUP BY o_custkey")
