@@ -224,13 +224,18 @@ def fit(
     )
     stats = found.select("_id", "_key", "_bad", text_statistics("_text").alias("_s"))
     columns = features(F.col("_s"))
-    usable = stats.filter(~base_failed(F.col("_s")))
+    # Filtered here: Catalyst would push a filter on the statistics below the join and so
+    # take them of every document.
     rows = (
-        usable.select("_key", "_id", "_bad", *(c.alias(n) for n, c in columns.items()))
+        stats.select(
+            "_key", "_id", "_bad", base_failed(F.col("_s")).alias("_failed"),
+            *(c.alias(n) for n, c in columns.items()),
+        )
         .orderBy("_key", "_id", "_bad", *columns)
         .limit(sample_rows)
         .toPandas()
     )
+    rows = rows[~rows["_failed"].astype(bool)]
     return learn({n: rows[n].to_numpy(float) for n in columns}, rows["_bad"].to_numpy(bool))
 
 
