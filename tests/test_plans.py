@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 import query_catalog as q
 from cohortloom.functions.rules import Branch, DrugClass, Rule
 from cohortloom.operators import sizing
-from cohortloom.operators.history import covariate_matrix, history_flag
+from cohortloom.operators.history import covariate_matrix, history_firsts, history_flag
 from cohortloom.operators.index import first_event
 from cohortloom.operators.materialize import ensure_checkpoint_dir, settle
 from cohortloom.operators.medications import ORDER_TIMES, medication_exposure
 from cohortloom.operators.numbering import global_row_number
 from cohortloom.operators.outcomes import events_for, label_outcomes
 from cohortloom.operators.value_sets import value_set
+from cohortloom.plans.studies import drug_exposure, surgery_history, surgery_outcomes
+from fixture_views import clinical_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -31,7 +33,13 @@ def test_first_event_limits_groups_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in text
 
 
-@pytest.mark.parametrize("name", ["covariates", "study_history", "study_exposure", "study_outcomes", "outcome_labels"])
+ONE_SCAN = [
+    "covariates", "covariates_from_flags", "study_history", "study_first_history_events",
+    "study_exposure", "study_outcomes", "outcome_labels",
+]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
 def test_fact_is_scanned_once(spark, name):
     text = final_plan(q.CATALOG[name](spark, FOLDER))
     assert fact_scans(text) == 1
@@ -50,6 +58,37 @@ def test_only_needed_columns_are_read(spark):
     assert "l_quantity" not in text and "o_totalprice" not in text
 
 
+def test_few_jobs_run_while_outcomes_are_planned(spark):
+    group = "plan of study_outcomes"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        q.CATALOG["study_outcomes"](spark, FOLDER)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) <= 14
+
+
+def test_result_types_of_the_studies(spark):
+    warehouse = clinical_warehouse(spark, FOLDER)
+    person = [("ir_id", "bigint")]
+    assert surgery_outcomes(warehouse).dtypes == [
+        ("surgical_case_key", "string"), *person, ("patient_key", "bigint"), ("visit_key", "bigint"),
+        ("surgery_start_datetime", "timestamp_ntz"), ("AF_dxDate", "timestamp_ntz"),
+        ("discharge_datetime", "timestamp_ntz"),
+    ]
+    flags = ["smoking", "copd", "prior_af", "hypertension", "diabetes", "mitralValve", "hf", "myo"]
+    assert surgery_history(warehouse).dtypes == [
+        *person, ("age", "int"), ("race_1", "string"), ("gender", "string"), *((f, "int") for f in flags),
+    ]
+    exposure = drug_exposure(warehouse, q.load_ids(spark, FOLDER))
+    assert exposure.dtypes == [
+        ("med_class", "string"), ("medication_key", "bigint"), ("medication_name", "string"),
+        ("generic_name", "string"), *((c, "timestamp_ntz") for c in ORDER_TIMES),
+        ("patient_key", "bigint"), *person,
+    ]
+
+
 @pytest.mark.parametrize("name", sorted(q.CATALOG))
 def test_no_row_by_row_python_and_no_cross_join(spark, name):
     text = plan_text(q.CATALOG[name](spark, FOLDER))
@@ -215,6 +254,11 @@ def test_skewed_history(spark, skewed, splitting):
     flagged = history_flag(index, events, terms, RULES[1])
     assert {r.ir_id for r in flagged.collect()} == mixed
     assert "row_number(), 1, Partial" in plan_text(flagged)
+    limited = history_firsts(index, events, terms, RULES, settled=True)
+    text = final_plan(limited)
+    assert "LeftSemi" in text and "skew=true" in text  # the fact's hot patient
+    found = {(r.ir_id, r.condition) for r in limited.collect()}
+    assert found == {(p, "early") for p in early} | {(p, "mixed") for p in mixed}
 
 
 def test_skewed_exposure(spark, splitting):
