@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Words are separated by ASCII white space only, which is what bytes.split() does too.
@@ -26,6 +26,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python 1,000 rows at a time, unless the session says something itself.
+
+    Spark's default of 10,000 rows is meant for narrow rows; of texts it makes batches that are
+    held several times over, by the JVM's buffers and by each Python worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def word_chunks(texts: list[str | None], limit: int) -> Iterator[tuple[int, list[list[bytes]]]]:
     """Consecutive texts as words, with the position of the first; up to ``limit`` words
     together, or one longer text."""

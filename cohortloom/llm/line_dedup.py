@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import BLANKS, fresh
+from cohortloom.llm.common import BLANKS, fresh, modest_batches
 from cohortloom.operators.materialize import settle
 
 RATIO = 0.1
@@ -68,6 +68,7 @@ def drop_boilerplate(
 
     ``lines`` is an array of text. An input column named lines is replaced.
     """
+    modest_batches(pages.sparkSession)
     others = [c for c in pages.columns if c.lower() != "lines"]
     row = fresh(pages.columns, "_row")
     cleaned = F.coalesce(lines, F.array().cast("array<string>"))

@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from cohortloom.llm.common import word_chunks
+from cohortloom.llm.common import modest_batches, word_chunks
 from cohortloom.operators.materialize import settle
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
+CACHED_BYTES = 12  # of a word; longer ones hardly come again
 MARK = "\x01"  # one token between words that are encoded together
 CHUNK_WORDS = 300_000  # words of texts that are encoded together
 ROUNDS = 8
@@ -99,7 +100,7 @@ class TokenCache:
         for words in texts:
             yield b"".join(map(self.ids.__getitem__, words))
         for word in new:
-            if len(word) > 64:
+            if len(word) > CACHED_BYTES:
                 del self.ids[word]
         if len(self.ids) > CACHED_WORDS:
             self.ids.clear()
@@ -153,6 +154,7 @@ def pieces(
                 columns.append(pa.array(ids, pa.binary()))
             yield pa.record_batch(columns, names=names + ["ids"] * with_ids)
 
+    modest_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
     return chosen.mapInArrow(cut, T.StructType(fields))
 

@@ -19,10 +19,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import BLANKS, fresh
+from cohortloom.llm.common import BLANKS, fresh, modest_batches
 
 SYMBOLS = "#*$%&|<>"
 STAT_TYPE = (
@@ -82,7 +82,8 @@ def _statistics_of(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(list(map(statistics, texts)), columns=list(STATS), dtype="int64")
 
 
-def text_statistics(text: str) -> Column:
+def text_statistics(spark: SparkSession, text: str) -> Column:
+    modest_batches(spark)
     return F.pandas_udf(_statistics_of, STAT_TYPE)(F.col(text))
 
 
@@ -222,7 +223,7 @@ def fit(
     found = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(
         F.broadcast(chosen), "_id"
     )
-    stats = found.select("_id", "_key", "_bad", text_statistics("_text").alias("_s"))
+    stats = found.select("_id", "_key", "_bad", text_statistics(docs.sparkSession, "_text").alias("_s"))
     columns = features(F.col("_s"))
     # Filtered here: Catalyst would push a filter on the statistics below the join and so
     # take them of every document.
@@ -257,7 +258,7 @@ def assess(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> DataFr
     name = fresh(docs.columns, "_stats")
     s = F.col(name)
     failed, by = base_failed(s), verdict(rules, features(s))
-    return docs.withColumn(name, text_statistics(text)).select(
+    return docs.withColumn(name, text_statistics(docs.sparkSession, text)).select(
         *others,
         *(s[c].alias(c) for c in STATS),
         failed.alias("base_failed"),
@@ -271,4 +272,4 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> Dat
     name = fresh(docs.columns, "_stats")
     s = F.col(name)
     kept = ~base_failed(s) & verdict(rules, features(s)).isNull()
-    return docs.withColumn(name, text_statistics(text)).filter(kept).select(*docs.columns)
+    return docs.withColumn(name, text_statistics(docs.sparkSession, text)).filter(kept).select(*docs.columns)

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm.common import modest_batches
 from cohortloom.llm.components import connected_components
 from cohortloom.operators.materialize import settle
 
@@ -64,6 +65,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(list(map(fingerprint, texts)), dtype="int64")
 
+    modest_batches(docs.sparkSession)
     return docs.select(
         F.col(id_column).alias("id"), F.pandas_udf(of, "long")(F.col(text)).alias("fp")
     )
