@@ -64,7 +64,10 @@ VIEWS: dict[str, dict[str, str]] = {
     "medication_order_profile": {"medication_order_profile_key": _LONG, "order_status": _TEXT},
 }
 
-# Accepted besides the type itself. Keys may be of any integral or text type.
+# Keys with a number that means there is nothing.
+NUMBERED = ("encounter_inpatient_key", "medication_key")
+
+# Accepted besides the type itself. Other keys may be of any integral or text type.
 _EQUIVALENT = {
     _LONG: (T.IntegralType, T.StringType),
     _TEXT: (T.StringType,),
@@ -82,13 +85,15 @@ def check_view(df: DataFrame, view: str) -> DataFrame:
     """``df`` unchanged, or ValueError naming every missing or mistyped column.
 
     A date key stored as a yyyymmdd integer is refused, as a cast would read it
-    as seconds; convert it with ``int_date_key``.
+    as seconds; convert it with ``int_date_key``. So are keys stored as text where
+    operators compare them with a number.
     """
     found = {f.name: f.dataType for f in df.schema}
     problems = [
         f"{column} is {found[column].simpleString()}, not {kind}" if column in found else f"no {column}"
         for column, kind in VIEWS[view].items()
-        if column not in found or not isinstance(found[column], _EQUIVALENT[kind])
+        if column not in found
+        or not isinstance(found[column], T.IntegralType if column in NUMBERED else _EQUIVALENT[kind])
     ]
     if problems:
         raise ValueError(f"{view}: " + "; ".join(problems))

@@ -24,7 +24,7 @@ from cohortloom.sources import (
 )
 
 
-def test_views_and_schemas():
+def test_views_and_schemas(spark):
     assert len(VIEWS) == 11
     assert view_schema("patient").fieldNames()[:2] == ["patient_key", "ir_id"]
 
@@ -74,6 +74,12 @@ def test_catalog_tables_by_two_and_three_part_names(spark):
         spark.sql("DROP DATABASE dim CASCADE")
 
 
+def test_text_is_refused_for_keys_that_are_compared_with_numbers(spark):
+    frame = spark.createDataFrame([("1", "a", "b")], "medication_key string, medication_name string, generic_name string")
+    with pytest.raises(ValueError, match="medication_key is string"):
+        check_view(frame, "medication")
+
+
 def test_named_intermediates_can_be_rerun(spark):
     replace_view(spark.range(1), "stage")
     assert replace_view(spark.range(3), "stage").count() == spark.table("stage").count() == 3
