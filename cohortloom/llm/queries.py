@@ -214,8 +214,82 @@ FROM p JOIN m USING (hex) JOIN b USING (hex)
 
 @query
 def op10_license_scan(spark, folder):
-    """tests/llm compares it with a plain scan; the sums of weights are no business of SQL."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     lines = line_dedup.html_lines(F.col("html"))
     found = license_scan.scan(pages, license_scan.url_path(F.col("url")), lines)
     return found.select("page_id", "own_licence", "own_score", "licence", "inherited_from")
+
+
+_NOTICES = ", ".join(
+    f"({turn}, '{name}', '{text.lower()}')"
+    for turn, (name, text) in enumerate(
+        (n, t) for n, texts in sorted(license_scan.TEMPLATES.items()) for t in texts
+    )
+)
+SQL["op10_license_scan"] = rf"""
+WITH notices(turn, name, notice) AS (VALUES {_NOTICES}),
+nt AS (
+    SELECT turn, name, term, count(*) AS tf
+    FROM (SELECT turn, name, unnest(regexp_extract_all(notice, '[a-z0-9]+')) AS term FROM notices)
+    GROUP BY ALL
+),
+p AS (
+    SELECT page_id, row_number() OVER () AS row,
+           regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare,
+           string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)) AS lines
+    FROM pages
+),
+f AS (SELECT page_id, row, CASE WHEN contains(bare, '/') THEN bare ELSE bare || '/' END AS path FROM p),
+l AS (
+    SELECT row, place, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms
+    FROM (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM p)
+    WHERE regexp_matches(lower(line), '[a-z0-9]')
+),
+total AS (SELECT count(*) AS n FROM l),
+lt AS (SELECT row, place, term, count(*) AS tf
+       FROM (SELECT row, place, unnest(terms) AS term FROM l) GROUP BY ALL),
+idf AS (
+    SELECT term, ln((1 + any_value(n)) / (1 + count(row))) + 1 AS weight
+    FROM (SELECT DISTINCT term FROM nt) LEFT JOIN lt USING (term), total GROUP BY term
+),
+lw AS (
+    SELECT row, place, term, tf * coalesce(weight, ln(1 + n) + 1) AS x
+    FROM lt LEFT JOIN idf USING (term), total
+),
+nw AS (SELECT turn, name, term, tf * weight AS y FROM nt JOIN idf USING (term)),
+lengths AS (SELECT row, place, sqrt(sum(x * x)) AS line_length FROM lw GROUP BY row, place),
+notice_lengths AS (SELECT turn, sqrt(sum(y * y)) AS notice_length FROM nw GROUP BY turn),
+scores AS (
+    SELECT row, turn, name, round(dot / (line_length * notice_length), 6) AS score
+    FROM (SELECT row, place, turn, name, sum(x * y) AS dot FROM lw JOIN nw USING (term) GROUP BY ALL)
+    JOIN lengths USING (row, place) JOIN notice_lengths USING (turn)
+),
+own AS (
+    SELECT row, name AS own_licence, score AS own_score FROM scores WHERE score >= 0.6
+    QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, turn) = 1
+),
+files AS (
+    SELECT page_id, row, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder,
+           regexp_matches(regexp_extract(path, '([^/]*)$', 1),
+               '(?i)^(licen[cs]e|copying|notice|legal|terms)([._-].*)?$') AS is_licence, own_licence, own_score
+    FROM f LEFT JOIN own USING (row)
+),
+votes AS (
+    SELECT folder AS holder, own_licence AS theirs, count(*) AS n, count(*) FILTER (is_licence) AS named
+    FROM files WHERE own_licence IS NOT NULL AND folder IS NOT NULL GROUP BY ALL
+),
+licensed AS (
+    SELECT holder, theirs, named, n, sum(n) OVER (PARTITION BY holder) AS whole FROM votes
+    QUALIFY row_number() OVER (PARTITION BY holder ORDER BY named DESC, n DESC, theirs DESC) = 1
+),
+nearest AS (
+    SELECT folder, holder, theirs
+    FROM (SELECT DISTINCT folder FROM files) JOIN licensed
+      ON folder = holder OR starts_with(folder, holder || '/')
+    WHERE named > 0 OR 2 * n > whole
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY length(holder) DESC) = 1
+)
+SELECT page_id, own_licence, own_score, coalesce(own_licence, theirs) AS licence,
+       CASE WHEN own_licence IS NULL THEN holder END AS inherited_from
+FROM files LEFT JOIN nearest USING (folder)
+"""
