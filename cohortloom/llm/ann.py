@@ -126,7 +126,7 @@ class Forest:
 
 
 def _points(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """(id, v, point): usable rows; point is equal just for equal vectors."""
+    """(id, v, point): usable rows, each once; point is equal just for equal vectors."""
     rows = vectors.filter(usable(F.col(vector)) & F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v")
     )
@@ -134,7 +134,7 @@ def _points(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
     text = F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))  # -0.0 is 0.0
     return rows.filter(F.size("v") == (common.n if common else 0)).withColumn(
         "point", F.sha2(F.array_join(text, ","), 256)
-    )
+    ).dropDuplicates(["id", "point"])
 
 
 def _best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:

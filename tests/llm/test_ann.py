@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from cohortloom.llm import ann
 from .helpers import SMALL, rows
@@ -58,6 +59,20 @@ def test_many_equal_vectors_and_small_cells(spark, monkeypatch):
         assert [i for _, i in sorted(found[q])] == brute(list(range(300)), matrix, q, 20)
 
 
+@pytest.mark.parametrize("times", [2, 25])
+def test_repeated_rows_count_once(spark, times):
+    random = np.random.default_rng(2)
+    matrix = random.normal(size=(200, 6))
+    matrix[40:80] = matrix[40]
+    data = [(i, v.tolist()) for i, v in enumerate(matrix)]
+    schema = "vec_id long, embedding array<double>"
+    found = {}
+    for r in ann.nearest(spark.createDataFrame(data * times, schema), search_share=9.0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 200, 20):
+        assert [i for _, i in sorted(found[q])] == brute(list(range(200)), matrix, q, 20)
+
+
 def test_nothing_to_search(spark):
     schema = "vec_id long, embedding array<float>"
     assert rows(ann.nearest(spark.createDataFrame([], schema))) == []
