@@ -87,7 +87,9 @@ def drop_boilerplate(
         .select(F.col("_site").alias("_of"), "h1", "h2")
     )
     hit = seen.join(bad, ["h1", "h2"]).filter(F.col("_site").eqNullSafe(F.col("_of")))
-    dropped = hit.groupBy(row).agg(F.collect_set("h1").alias("_dropped"))
+    # Written first: AQE can split the key that all copies of a page share only if neither side of the
+    # join comes from an aggregation.
+    dropped = settle(hit.groupBy(row).agg(F.collect_set("h1").alias("_dropped")))
     joined = rows.join(dropped, row, "left")
     keys = F.transform("_lines", lambda x: F.xxhash64(_stripped(x)))
     kept = F.pandas_udf(_kept, "array<string>")("_lines", keys, "_dropped")

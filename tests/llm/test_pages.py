@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.llm import license_scan, line_dedup, warc
+from plan_tools import final_plan
 from .helpers import SMALL, documents, rows
 
 
@@ -29,6 +30,27 @@ def test_lines_above_the_ratio_go(spark):
     assert none.count() == 0
 
 
+def test_the_key_of_many_copies_is_split(spark):
+    many = [(i, "menu\n" + "copied words " * 40, "a") for i in range(3_000)]
+    docs = documents(spark, many + [(i, f"menu\nown {i}", "a") for i in range(3_000, 6_000)], 12)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        kept = line_dedup.drop_boilerplate(docs, F.col("source"), line_dedup.text_lines(F.col("text")))
+        assert {tuple(r.lines) for r in kept.select("lines").collect()} == {()} | {(f"own {i}",) for i in range(3_000, 6_000)}
+        joins = re.findall(r"SortMergeJoin.*", final_plan(kept))
+        assert [x for x in joins if "LeftOuter" in x and "skew=true" in x], joins
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_host(spark):
     urls = ["https://A.example.org/x", "http://u@b.c:80", "mailto:x", None, "https://h?q=//z"]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")
