@@ -62,11 +62,14 @@ def _kept(lines: pd.Series, hashes: pd.Series, dropped: pd.Series) -> pd.Series:
 
 
 def drop_boilerplate(
-    pages: DataFrame, site: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame, site: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+    copies_count: bool = True,
 ) -> DataFrame:
     """``pages`` with a column lines: those that are not boilerplate of their site, in order.
 
-    ``lines`` is an array of text. An input column named lines is replaced.
+    ``lines`` is an array of text. An input column named lines is replaced. Without ``copies_count``
+    the pages of a site that have the same lines count as one page, so copies of a text do not
+    make its own lines boilerplate.
     """
     modest_batches(pages.sparkSession)
     others = [c for c in pages.columns if c.lower() != "lines"]
@@ -79,7 +82,10 @@ def drop_boilerplate(
     )
     own = F.array_distinct(F.transform(F.filter("_lines", lambda x: F.length(_stripped(x)) > 0), _hashes))
     seen = rows.select(row, "_site", F.explode(own).alias("_h")).select(row, "_site", "_h.h1", "_h.h2")
-    totals = rows.groupBy("_site").agg(F.count(F.lit(1)).alias("total")).withColumnRenamed("_site", "_of")
+    sites = rows.select(row, "_site")
+    if not copies_count:
+        seen, sites = seen.distinct(), sites.distinct()
+    totals = sites.groupBy("_site").agg(F.count(F.lit(1)).alias("total")).withColumnRenamed("_site", "_of")
     counted = seen.groupBy("_site", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     bad = settle(
         counted.join(totals, F.col("_site").eqNullSafe(F.col("_of")))
