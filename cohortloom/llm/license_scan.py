@@ -18,6 +18,7 @@ comes first by name wins; repeated rows each get a result and each count.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from math import log, sqrt
@@ -27,21 +28,40 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.materialize import settle
 
-# Notices that licence stewards ask authors to use, by SPDX id.
+# Notices that licence stewards ask authors to use, short forms and full texts, by SPDX id.
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, {1}."
+_WARRANTY = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+_LATER = "either version {0} of the License, or (at your option) any later version"
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+_MIT_RIGHTS = _MIT + " (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_MIT_FULL = _MIT_RIGHTS + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+
+
+def _gnu(spdx: str, kind: str, version: int) -> list[str]:
+    header = _GNU.format(kind, _LATER.format(version))
+    return [
+        f"This work is licensed under the GNU {kind}, version {version}.", f"Licensed under the GNU {kind} v{version}.0.",
+        f"Licensed under {spdx}.", header, header + _WARRANTY.format(kind), _GNU.format(kind, f"version {version} of the License"),
+    ]
+
+
 TEMPLATES = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Use of this source code is governed by a BSD-style license."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "AGPL-3.0": _gnu("AGPL-3.0", "Affero General Public License", 3),
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", _APACHE, "Released under the Apache License 2.0.", _APACHE + " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."],
+    "BSD-3-Clause": [_BSD, "Use of this source code is governed by a BSD-style license.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "Licensed under the BSD 3-Clause License.", _BSD + " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
+    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "proprietary": ["All rights reserved. Unauthorized copying of this file is strictly prohibited."],
+    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Licensed under CC0 1.0.", "CC0 1.0 Universal Public Domain Dedication."],
+    "GPL-2.0": _gnu("GPL-2.0", "General Public License", 2),
+    "GPL-3.0": _gnu("GPL-3.0", "General Public License", 3),
+    "LGPL-3.0": _gnu("LGPL-3.0", "Lesser General Public License", 3),
+    "MIT": ["Released under the MIT License.", _MIT, "Licensed under the MIT License.", _MIT_RIGHTS, _MIT_FULL],
+    "MPL-2.0": [_MPL, "Licensed under the Mozilla Public License 2.0.", _MPL + " If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "proprietary": ["All rights reserved. Unauthorized copying of this file is strictly prohibited.", "All rights reserved."],
 }
 THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|legal|terms)([._-].*)?$"
@@ -103,16 +123,23 @@ def own_licences(files: DataFrame, lines: Column, templates: dict[str, list[str]
 
         return F.aggregate(F.array_distinct(line), F.lit(0.0), add)
 
+    # Of each term, what one of it adds to the product with each template; one literal.
+    norms = [sqrt(sum(w * w for w in v.values())) for _, v in vectors]
+    shares = {t: [v.get(t, 0.0) * idf[t] / n for (_, v), n in zip(vectors, norms)] for t in vocabulary}
+    shares_of = F.from_json(F.lit(json.dumps(shares)), "map<string,array<double>>")
+    names = array(name for name, _ in vectors)
+
     def best(line: Column) -> Column:
         length = F.sqrt(squared(line))
-        scores = []
-        for place, (name, vector) in enumerate(vectors):
-            dot = F.lit(0.0)
-            for term, weight in sorted(vector.items()):
-                dot = dot + times(line, F.lit(term)) * F.lit(weight * idf[term])
-            norm = sqrt(sum(w * w for w in vector.values()))
-            scores.append(F.struct(F.round(dot / (length * F.lit(norm)), 6).alias("score"), F.lit(-place).alias("turn"), F.lit(name).alias("name")))
-        return F.array_max(F.array(*scores))
+
+        def add(total, term):
+            return F.coalesce(F.zip_with(total, F.element_at(shares_of, term), lambda a, b: a + b), total)
+
+        def score(dot, place):
+            return F.struct(F.round(dot / length, 6).alias("score"), (-place).alias("turn"), F.get(names, place).alias("name"))
+
+        dots = F.aggregate(line, F.array_repeat(F.lit(0.0), len(vectors)), add)
+        return F.array_max(F.transform(dots, score))
 
     heavy = F.filter(per_line, lambda x: F.arrays_overlap(x, array(needed)))
     top = F.array_max(F.transform(heavy, best))

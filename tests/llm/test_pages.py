@@ -155,6 +155,26 @@ def test_scores_match_the_formula(spark):
     assert sum(name is not None for _, name, _ in expected) >= 5
 
 
+def test_licence_texts_that_are_not_templates(spark):
+    gnu = "{0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+    texts = [
+        ("Some rights? All rights reserved", "proprietary"), ("(c) All rights reserved.", "proprietary"),
+        ("This text is licensed under CC BY 4.0", "CC-BY-4.0"), ("Text licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"), ("Pictures licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+        (gnu.format("This program", "General Public License", 3), "GPL-3.0"), (gnu.format("This library", "Lesser General Public License", 3), "LGPL-3.0"),
+        (gnu.format("This", "General Public License", 2), "GPL-2.0"), (gnu.format("It", "Affero General Public License", 3), "AGPL-3.0"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the 'Software'), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "MIT"),
+        ("This project is licensed under the MIT License", "MIT"), ("Code licensed under the Mozilla Public License 2.0", "MPL-2.0"),
+        ("We walked all day and reserved a table by the lake", None),
+    ]
+    table = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", F.col("html").alias("text"))
+    known = {t for ts in license_scan.TEMPLATES.values() for t in ts}
+    assert not known & {t for t, _ in texts}
+    extra = spark.createDataFrame([(10**9 + i, t) for i, (t, _) in enumerate(texts)], table.schema)
+    found = license_scan.own_licences(table.unionAll(extra), line_dedup.html_lines(F.col("text")))
+    got = {r.page_id - 10**9: (r.own_licence, r.own_score) for r in found.filter("page_id >= 1000000000").collect()}
+    assert {t: got[i][0] for i, (t, _) in enumerate(texts)} == dict(texts), got
+
+
 def test_nearest_directory_is_inherited(spark):
     data = [
         ("h/LICENSE", "MIT"), ("h/a", None), ("h/x/b", None), ("h/x/y/c", None), ("h/x/y/d", "GPL-3.0"), ("h/x/y/z/e", None),
