@@ -18,7 +18,6 @@ comes first by name wins; repeated rows each get a result and each count.
 
 from __future__ import annotations
 
-import json
 import re
 from collections import Counter
 from math import log, sqrt
@@ -123,10 +122,13 @@ def own_licences(files: DataFrame, lines: Column, templates: dict[str, list[str]
 
         return F.aggregate(F.array_distinct(line), F.lit(0.0), add)
 
-    # Of each term, what one of it adds to the product with each template; one literal.
+    # Of each term, what one of it adds to the product with each template. Written as SQL it is folded into
+    # one literal; from_json would be evaluated again for every term of every line.
     norms = [sqrt(sum(w * w for w in v.values())) for _, v in vectors]
     shares = {t: [v.get(t, 0.0) * idf[t] / n for (_, v), n in zip(vectors, norms)] for t in vocabulary}
-    shares_of = F.from_json(F.lit(json.dumps(shares)), "map<string,array<double>>")
+    rows = ", ".join(f"array({', '.join(f'{x!r}D' for x in row)})" for row in shares.values())
+    keys = ", ".join(f"'{t}'" for t in shares)
+    shares_of = F.expr(f"map_from_arrays(array({keys}), array({rows}))")
     names = array(name for name, _ in vectors)
 
     def best(line: Column) -> Column:
