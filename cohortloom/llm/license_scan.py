@@ -122,8 +122,7 @@ def own_licences(files: DataFrame, lines: Column, templates: dict[str, list[str]
 
         return F.aggregate(F.array_distinct(line), F.lit(0.0), add)
 
-    # Of each term, what one of it adds to the product with each template. Written as SQL it is folded into
-    # one literal; from_json would be evaluated again for every term of every line.
+    # Of each term, what one of it adds to the product with each template; one map.
     norms = [sqrt(sum(w * w for w in v.values())) for _, v in vectors]
     shares = {t: [v.get(t, 0.0) * idf[t] / n for (_, v), n in zip(vectors, norms)] for t in vocabulary}
     rows = ", ".join(f"array({', '.join(f'{x!r}D' for x in row)})" for row in shares.values())
