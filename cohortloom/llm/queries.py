@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
+from cohortloom.llm import ann, common, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,3 +293,10 @@ SELECT page_id, own_licence, own_score, coalesce(own_licence, theirs) AS licence
        CASE WHEN own_licence IS NULL THEN holder END AS inherited_from
 FROM files LEFT JOIN nearest USING (folder)
 """
+
+
+@query
+def op12_importance_resampling(spark, folder):
+    """No SQL: DuckDB has no CRC-32. tests/llm checks it by brute force."""
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
