@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
+from cohortloom.llm import ann, common, conversation_repair, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,3 +300,22 @@ def op12_importance_resampling(spark, folder):
     """No SQL: DuckDB has no CRC-32. tests/llm checks it by brute force."""
     drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query
+def op11_conversation_repair(spark, folder):
+    """No SQL: the least audit of a dynamic program. tests/llm checks it by brute force."""
+    whole = table(spark, folder, "conversations")
+    damaged = conversation_repair.damage(whole)
+    found = conversation_repair.repair(damaged, place=F.struct("origin", "copy")).summaries()
+    listed = whole.select("conv_id").distinct()
+    known = listed.join(found, listed["conv_id"].eqNullSafe(found["id"]), "left")
+    had = F.col("audit").isNotNull()
+    numbers = ("blank", "duplicate", "truncated", "illegal", "cost")
+    return known.select(
+        "conv_id",
+        F.when(had, F.col("gaps")).otherwise(F.lit(0)).cast("bigint").alias("gaps"),
+        *(F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
