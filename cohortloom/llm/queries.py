@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import ann, common, conversation_repair, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
+from cohortloom.llm import ann, bwt_dedup, common, conversation_repair, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,3 +319,35 @@ def op11_conversation_repair(spark, folder):
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op13_suffix_dedup(spark, folder):
+    found = bwt_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+SQL["op13_suffix_dedup"] = """
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+    SELECT row, doc_id, s, substr(x, 2 * s + 1, 100) AS gram
+    FROM (SELECT row, doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS s FROM d)
+), least AS (SELECT gram, min(doc_id) AS first FROM w GROUP BY gram),
+hits AS (SELECT row, s FROM w JOIN least USING (gram) WHERE first < doc_id),
+steps AS (
+    SELECT row, s, CASE WHEN s - lag(s) OVER (PARTITION BY row ORDER BY s) <= 50 THEN 0 ELSE 1 END AS opens FROM hits
+), runs AS (
+    SELECT row, min(s) AS a, max(s) + 50 AS b
+    FROM (SELECT row, s, sum(opens) OVER (PARTITION BY row ORDER BY s) AS run FROM steps) GROUP BY row, run
+), pieces AS (
+    SELECT row, lag(b, 1, 0) OVER (PARTITION BY row ORDER BY a) AS f, a AS t FROM runs
+    UNION ALL SELECT row, max(b), NULL FROM runs GROUP BY row
+), kept AS (
+    SELECT row, string_agg(substr(x, 2 * f + 1, 2 * (coalesce(t, length(x) // 2) - f)), '' ORDER BY f) AS rest
+    FROM pieces JOIN d USING (row) GROUP BY row
+), gone AS (SELECT row, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY row)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (row) LEFT JOIN gone USING (row)
+"""
