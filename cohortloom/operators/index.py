@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.expressions import date_key_to_timestamp, normalized_name
+from cohortloom.operators.code_tables import of_code_table
 from cohortloom.operators.sizing import are_small, look_up
 
 NO_ENCOUNTER = -2  # sentinel key: the procedure belongs to no inpatient encounter
@@ -17,21 +18,30 @@ def index_events(
     procedures: DataFrame,
     procedure_dim: DataFrame,
     patients: DataFrame,
-    code_types: Sequence[str],
-    codes: Sequence[str],
+    code_types: Sequence[str] | None,
+    codes: Sequence[str] | DataFrame,
     encounters: DataFrame | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """All qualifying dated procedures with the patient's demographics.
 
-    Code system and code are tested independently. With ``encounters`` only
+    Code system and code are tested independently. ``codes`` may be a table with the
+    column ``procedure_code`` or, if system and code go together, also ``code_type``; without
+    ``code_types`` any system counts. With ``encounters`` only
     procedures of a real inpatient encounter count, and its discharge time is
     added. ``carry`` names further patient columns to pass through, such as
     record numbers. A person may have many rows, and duplicate source rows stay.
     """
-    qualifying = procedure_dim.where(
-        F.col("code_type").isin(*code_types) & F.col("procedure_code").isin(*codes)
-    ).select("procedure_key", normalized_name(F.col("procedure_name")).alias("procedure_name"))
+    qualifying = procedure_dim
+    if code_types is not None:
+        qualifying = qualifying.where(F.col("code_type").isin(*code_types))
+    if isinstance(codes, DataFrame):
+        qualifying = of_code_table(qualifying, codes)
+    else:
+        qualifying = qualifying.where(F.col("procedure_code").isin(*codes))
+    qualifying = qualifying.select(
+        "procedure_key", normalized_name(F.col("procedure_name")).alias("procedure_name")
+    )
     performed = procedures.where(F.col("coded_procedure_date_key").isNotNull()).select(
         "coded_procedure_key",
         "patient_key",

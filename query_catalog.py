@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import drugs, vocabulary
 from cohortloom.functions.expressions import presence_flag, year_boundaries
 from cohortloom.functions.rules import Branch, DrugClass, Rule
+from cohortloom.operators.code_tables import rule_table, value_set_from_table
 from cohortloom.operators.history import (
     covariate_matrix,
     history_firsts,
@@ -180,9 +181,27 @@ def global_row_number_of_events(spark, folder):
     return portable(global_row_number(events, order, distinct=True))
 
 
+@query
+def index_events_from_code_table(spark, folder):
+    """The code list is a table: types and brands, together, of parts of one size."""
+    a = Analogue(spark, folder)
+    listed = a.table("part").where(F.col("p_size") == 7)
+    codes = listed.select(F.col("p_type").alias("code_type"), F.col("p_brand").alias("procedure_code"))
+    events = index_events(a.procedures, a.procedure_dim, a.patients, None, codes.distinct())
+    return portable(events, "surgical_case_key", "ir_id", "procedure_name", "surgery_start_datetime")
+
+
 # -- value sets and outcomes ---------------------------------------------------
 
 
+@query
+def value_sets_from_table(spark, folder):
+    """The nine conditions as rows of a rule table, looked up in one join."""
+    terminology = clinical_warehouse(spark, folder).view("diagnosis_terminology")
+    rules = (vocabulary.AF_OUTCOME, *vocabulary.HISTORY_CONDITIONS)
+    return value_set_from_table(terminology, rule_table(spark, rules))
+
+
 @query
 def value_set_keys(spark, folder):
     return value_set(Analogue(spark, folder).terminology, OUTCOME)

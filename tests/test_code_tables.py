@@ -1,0 +1,112 @@
+"""Rule and code tables against the rules they are made of."""
+
+import pytest
+from clinic import rows
+from plan_tools import final_plan
+from pyspark.sql import functions as F
+
+from cohortloom.functions import vocabulary
+from cohortloom.functions.rules import Branch, Rule
+from cohortloom.operators import sizing
+from cohortloom.operators.code_tables import RULE_TABLE, of_code_table, rule_table, value_set_from_table
+from cohortloom.operators.index import index_events
+from cohortloom.operators.value_sets import value_set
+from fixture_views import clinical_warehouse
+
+NINE = (vocabulary.AF_OUTCOME, *vocabulary.HISTORY_CONDITIONS)
+TERMS = "diagnosis_key long, diagnosis_code_set string, diagnosis_code string, diagnosis_code_base string, diagnosis_name string"
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_nine_conditions_from_a_table(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+    terminology = clinical_warehouse(spark, "/root/testdata/sf0.001").view("diagnosis_terminology")
+    found = value_set_from_table(terminology, rule_table(spark, NINE))
+    by_set = {rule.name: set() for rule in NINE}
+    for row in found.collect():
+        by_set[row.value_set].add(row.diagnosis_key)
+    for rule in NINE:
+        expected = {r.diagnosis_key for r in value_set(terminology, rule).collect()}
+        assert by_set[rule.name] == expected and expected
+
+
+def test_guards_of_a_table(spark):
+    table = rule_table(spark, [vocabulary.COPD])
+    assert {r.guarded for r in table.where("code_set = 'ICD-10-CM'").collect()} == {False}
+    assert {r.guarded for r in table.where("code_set = 'ICD-9-CM'").collect()} == {True}
+
+
+PATTERNS = ("%smok%", "a_c%", "%", "x%y", "10\\%", "_", "equal", "", "%B%")
+NAMES = ("smoker", "abc", "ac", "xy", "xzzy", "10\\ mg", "q", "Equal", "", "SMOKE", "\n", None)
+
+
+@pytest.mark.parametrize("case_sensitive", [True, False])
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_patterns_mean_the_same_in_a_table(spark, pattern, case_sensitive):
+    terms = spark.createDataFrame([(n, "S", "c", "c", name) for n, name in enumerate(NAMES)], TERMS)
+    rule = Rule("r", (Branch(name_like=(pattern,)),))
+    found = value_set_from_table(terms, rule_table(spark, [rule]), case_sensitive)
+    assert rows(found.select("diagnosis_key")) == rows(value_set(terms, rule, case_sensitive))
+
+
+RANGES = (("401", "405"), ("I10", "I16"), ("", "b"), ("a", "a"), ("b", "a"), ("4", "40"), ("ab", "zz"))
+
+
+def test_text_ranges_mean_the_same_in_a_table(spark):
+    texts = ("401", "4011", "405", "405.1", "I1", "I10", "I15.9", "I16.0", "", "a", "aa", "b", "ba", "4", "40", None, "zz", "zzz")
+    terms = spark.createDataFrame([(n, "S", None, t, None) for n, t in enumerate(texts)], TERMS)
+    rules = [Rule(f"r{n}", (Branch(base_between=ends),)) for n, ends in enumerate(RANGES)]
+    found = value_set_from_table(terms, rule_table(spark, rules))
+    expected = [(r.name, k.diagnosis_key) for r in rules for k in value_set(terms, r).collect()]
+    assert rows(found.select("value_set", "diagnosis_key")) == sorted(expected, key=repr)
+
+
+def test_large_rule_tables_meet_terms_by_equal_keys(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        terms = spark.range(2000).select(
+            F.col("id").alias("diagnosis_key"), F.lit("S").alias("diagnosis_code_set"),
+            F.col("id").cast("string").alias("diagnosis_code"), F.lit(None).cast("string").alias("diagnosis_code_base"),
+            F.lit("some name").alias("diagnosis_name"),
+        )
+        codes = spark.range(0, 4000, 2).select(F.col("id").cast("string").alias("code"))
+        table = codes.select(
+            F.lit("even").alias("value_set"), F.lit(True).alias("guarded"), F.lit("code").alias("field"),
+            F.lit(None).cast("string").alias("code_set"), "code",
+            *(F.lit(None).cast("string").alias(c) for c in ("low", "high", "prefix", "pattern")),
+        )
+        found = value_set_from_table(terms, table)
+        text = final_plan(found)
+        assert "NestedLoop" not in text and "Cartesian" not in text and "Join" in text
+        assert found.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_empty_tables_and_mixed_branches(spark):
+    terms = spark.createDataFrame([(1, "S", "c", "c", "n")], TERMS)
+    assert value_set_from_table(terms, spark.createDataFrame([], RULE_TABLE)).count() == 0
+    assert value_set_from_table(terms.limit(0), rule_table(spark, NINE)).count() == 0
+    with pytest.raises(ValueError, match="one criterion"):
+        rule_table(spark, [Rule("r", (Branch(codes=("a",), bases=("b",)),))])
+
+
+def test_procedures_of_a_code_table(spark):
+    dim = spark.createDataFrame(
+        [(1, "P", "CPT", "1"), (2, "Q", "ICD9", "1"), (3, "R", "CPT", None), (4, "S", "CPT", "2")],
+        "procedure_key long, procedure_name string, code_type string, procedure_code string",
+    )
+    both = spark.createDataFrame([("CPT", "1"), ("CPT", "1"), ("ICD9", "2"), ("CPT", None)], "code_type string, procedure_code string")
+    assert rows(of_code_table(dim, both).select("procedure_key")) == [(1,)]
+    assert rows(of_code_table(dim, both.select("procedure_code")).select("procedure_key")) == [(1,), (2,), (4,)]
+
+
+def test_code_table_and_code_list_find_the_same_events(spark):
+    warehouse = clinical_warehouse(spark, "/root/testdata/sf0.001")
+    views = [warehouse.view(v) for v in ("coded_procedure", "procedure", "patient")]
+    codes = spark.createDataFrame([(c,) for c in vocabulary.BYPASS_CODES], "procedure_code string")
+    types = vocabulary.PROCEDURE_CODE_TYPES
+    listed = index_events(*views, types, vocabulary.BYPASS_CODES)
+    assert rows(index_events(*views, types, codes)) == rows(listed)
