@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,12 +79,79 @@ def keep_keys(fact: DataFrame, keys: DataFrame, small: bool) -> DataFrame:
 
     Large keys are materialized first. AQE splits a hot key only when both sides
     of the join come straight from a shuffle, and keys made by a distinct would
-    hand their own partitioning to the join instead.
+    hand their own partitioning to the join instead. Before the fact is shuffled, a
+    filter of the keys drops nearly all rows that the join would drop (:func:`key_filter`).
     """
-    keys = F.broadcast(keys) if small else settle(keys)
+    if small:
+        return fact.join(F.broadcast(keys), keys.columns, "left_semi")
+    keys = settle(keys)
+    words = key_filter(keys)
+    if words is not None:
+        fact = may_have_key(fact, words, keys.columns)
     return fact.join(keys, keys.columns, "left_semi")
 
 
+WORD_BYTES = 48  # of a broadcast filter word, with its share of the hash table
+KEYS_PER_WORD = 4  # about 2 in 100 absent keys pass then
+CROWDED = 16  # keys per word beyond which a filter lets most rows pass
+PROBES = 4
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """A Bloom filter as a table of 64-bit words (word, bits), at most ``size`` rows.
+
+    All bits of a key lie in one word, so a test is one lookup and one mask.
+    """
+
+    words: DataFrame
+    size: int
+
+    def merged(self, other: KeyFilter) -> KeyFilter:
+        """The filter of both key sets; both must have the same size."""
+        if self.size != other.size:
+            raise ValueError("only filters of one size can be merged")
+        both = self.words.unionAll(other.words).groupBy("word")
+        return KeyFilter(both.agg(F.bit_or("bits").alias("bits")), self.size)
+
+
+def _word(columns: Sequence[str], size: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(size).cast("long"))
+
+
+def _mask(columns: Sequence[str]) -> Column:
+    # The first value, a constant, makes this hash another one than the word's.
+    spread = F.xxhash64(F.lit("mask"), *columns)
+    bits = [
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(spread, 6 * n).bitwiseAND(63).cast("int"))
+        for n in range(PROBES)
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def key_filter(keys: DataFrame, size: int | None = None) -> KeyFilter | None:
+    """The filter of some materialized keys; None if one that may be broadcast would be no use.
+
+    Its size is bounded by :data:`BROADCAST_BYTES`, whatever the number of keys. Words are
+    combined within tasks before they are shuffled. Give a ``size`` for filters to be merged.
+    """
+    if size is None:
+        count, most = keys.count(), BROADCAST_BYTES // WORD_BYTES
+        if most < 1 or count > most * CROWDED:
+            return None
+        size = max(1, min(most, count // KEYS_PER_WORD))
+    words = keys.groupBy(_word(keys.columns, size).alias("word"))
+    return KeyFilter(words.agg(F.bit_or(_mask(keys.columns)).alias("bits")), size)
+
+
+def may_have_key(fact: DataFrame, keys: KeyFilter, columns: Sequence[str]) -> DataFrame:
+    """``fact`` without rows whose key is surely not among the filter's; some others stay."""
+    words = F.broadcast(keys.words.withColumnsRenamed({"word": "filter_word", "bits": "filter_bits"}))
+    mask = _mask(columns)
+    met = (F.col("filter_word") == _word(columns, keys.size)) & (F.col("filter_bits").bitwiseAND(mask) == mask)
+    return fact.join(words, met, "left_semi")
+
+
 def look_up(fact: DataFrame, dim: DataFrame, on: str, small: bool) -> DataFrame:
     """Rows of ``fact`` with the columns of their ``dim`` row.
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.sources.schemas import VIEWS, check_view
@@ -31,6 +33,68 @@ def load_table(spark: SparkSession, name: str, database: str | None = None) -> D
     return spark.table(name if database is None or "." in name else f"{database}.{name}")
 
 
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
+    """Make sure a database is there; its tables are kept under ``location``."""
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+    return name
+
+
+def save_table(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
+) -> DataFrame:
+    """Save ``df`` as the Parquet table ``name`` (two or three parts), replacing it, and read it.
+
+    ``partition_by`` columns become folders, so that a filter on them leaves files out.
+    ``buckets`` deals the rows out by ``bucket_by`` once; joins and aggregations on these columns
+    then need no exchange of this table. Take as many buckets as ``spark.sql.shuffle.partitions``
+    or more: with fewer, Spark shuffles both sides for parallelism. A bucket is read by one task,
+    so a hot key makes a large bucket; facts with very hot keys are better left unbucketed,
+    where AQE can split them.
+    """
+    if bool(buckets) != bool(bucket_by):
+        raise ValueError("buckets and bucket_by go together")
+    if buckets:  # one file per bucket and partition, instead of one per task
+        df = df.repartition(buckets, *bucket_by)
+    elif partition_by:
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(PARTITION_FILES)))
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+PARTITION_FILES = 16  # files of a partition folder at most, so that a large one has many writers
+
+
+def year_column(day: str) -> str:
+    """Name of the partition column that :func:`with_year` adds for a date column."""
+    return f"{day}_year"
+
+
+def with_year(df: DataFrame, day: str) -> DataFrame:
+    """``df`` with the year of a date column, to partition by."""
+    return df.withColumn(year_column(day), F.year(day))
+
+
+def between_days(df: DataFrame, day: str, first: date, last: date) -> DataFrame:
+    """Rows with a date from ``first`` to ``last``.
+
+    On a table that is partitioned by the date's year the other years are not read.
+    """
+    kept = df.where(F.col(day).between(F.lit(first), F.lit(last)))
+    if year_column(day) in df.columns:
+        kept = kept.where(F.col(year_column(day)).between(first.year, last.year))
+    return kept
+
+
 def replace_view(df: DataFrame, name: str) -> DataFrame:
     """Name an intermediate for SQL access; a rerun replaces it."""
     df.createOrReplaceTempView(name)

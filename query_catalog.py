@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from cohortloom.operators.history import (
     matrix_from_firsts,
 )
 from cohortloom.operators.index import first_event, index_events
-from cohortloom.operators.materialize import settle
+from cohortloom.operators.materialize import ensure_checkpoint_dir, settle
 from cohortloom.operators.medications import (
     classify_medications,
     cohort_members,
@@ -26,15 +28,25 @@ from cohortloom.operators.medications import (
 )
 from cohortloom.operators.numbering import global_row_number
 from cohortloom.operators.outcomes import events_for, label_outcomes, within_window
-from cohortloom.operators.sizing import broadcast_small
-from cohortloom.operators.value_sets import distinct_values, point_lookup, value_set
+from cohortloom.operators.sizing import are_small, broadcast_small, keep_keys
+from cohortloom.operators.value_sets import distinct_values, load_keys, point_lookup, value_set
+from cohortloom.operators.windows import events_in_windows
 from cohortloom.plans.studies import (
     TIE_BREAK,
     drug_exposure,
     surgery_history,
     surgery_outcomes,
 )
-from cohortloom.sources import Warehouse, replace_view
+from cohortloom.sources import (
+    Warehouse,
+    between_days,
+    create_database,
+    read_csv,
+    replace_view,
+    save_table,
+    with_year,
+    write_csv,
+)
 from fixture_views import Analogue, clinical_warehouse
 
 TYPES = ("PROMO", "ECONOMY", "SMALL")
@@ -484,3 +496,96 @@ def named_intermediate_replaced(spark, folder):
     replace_view(orders.where(F.col("o_orderstatus") == "P"), "stage_orders")
     replace_view(orders.where(F.col("o_orderstatus") == "F"), "stage_orders")
     return spark.sql("SELECT o_custkey, count(*) AS n FROM stage_orders GROUP BY o_custkey")
+
+
+# -- saved results and intermediates ---------------------------------------------
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new name in the folder that all executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/saved-{uuid.uuid4().hex}"
+
+
+@query
+def csv_written_and_read(spark, folder):
+    """Orders with awkward texts, written as CSV with a manifest and read back by type."""
+    kind = F.col("o_orderkey") % 8
+    text = (
+        F.when(kind == 1, "")
+        .when(kind == 2, F.concat(F.lit('"'), "o_orderpriority", F.lit('", said')))
+        .when(kind == 3, F.concat(F.lit(" two\nlines "), "o_orderstatus", F.lit(" ")))
+        .when(kind == 4, "\\")
+        .when(kind > 4, F.col("o_orderpriority"))
+    )
+    written = Analogue(spark, folder).table("orders").select(
+        "o_orderkey", "o_custkey", text.alias("note"), "o_totalprice", "o_orderdate", F.col("o_orderdate").cast("date").alias("day")
+    )
+    path = shared_folder(spark)
+    write_csv(written, path, manifest=True)
+    return portable(read_csv(spark, path, verify=True))
+
+
+def saved_warehouse(spark, folder) -> Warehouse:
+    """Views saved as catalog tables, the fact partitioned by year, under names of two and three parts."""
+    warehouse = clinical_warehouse(spark, folder)
+    database = create_database(spark, f"dw_{uuid.uuid4().hex}", shared_folder(spark))
+    save_table(warehouse.view("patient"), f"{database}.vw_patient")
+    events = with_year(warehouse.view("diagnosis_event"), "start_date_key")
+    save_table(events, f"spark_catalog.{database}.vw_diagnosis_event", partition_by=["start_date_key_year"])
+    names = {"patient": f"{database}.vw_patient", "diagnosis_event": f"spark_catalog.{database}.vw_diagnosis_event"}
+    return Warehouse.from_catalog(spark, names)
+
+
+@query
+def catalog_tables_by_part_names(spark, folder):
+    """Diagnoses of one year and their persons; the other years' files are not read."""
+    warehouse = saved_warehouse(spark, folder)
+    events = between_days(warehouse.view("diagnosis_event"), "start_date_key", date(1995, 3, 1), date(1995, 12, 31))
+    found = events.join(warehouse.view("patient").select("patient_key", "ir_id", "gender"), "patient_key")
+    return portable(found, "diagnosis_event_key", "patient_key", "ir_id", "gender", "start_date_key")
+
+
+def bucketed(spark, facts: DataFrame) -> DataFrame:
+    """A fact saved in buckets of patients."""
+    database = create_database(spark, f"facts_{uuid.uuid4().hex}", shared_folder(spark))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return save_table(facts, f"{database}.fact", buckets=buckets, bucket_by=["patient_key"])
+
+
+@query
+def covariates_on_bucketed_facts(spark, folder):
+    """The covariate matrix; the diagnosis fact is bucketed by patient, so it is not exchanged."""
+    a = Analogue(spark, folder)
+    index = settle(analogue_index(a, a.patients_with_birth))
+    facts = bucketed(spark, a.diagnoses)
+    return covariate_matrix(index, facts, a.terminology, MATRIX_RULES, a.profile, LOADS, settled=True)
+
+
+# -- all windows, large key sets -------------------------------------------------
+
+
+@query
+def outcomes_in_windows_of_all_events(spark, folder):
+    """Outcome events within 30 days from any of the patient's index events, not just the first."""
+    a = Analogue(spark, folder)
+    length = F.make_dt_interval(F.lit(WINDOW_DAYS))
+    windows = analogue_events(a).select(
+        "surgical_case_key", "patient_key", "surgery_start_datetime", (F.col("surgery_start_datetime") + length).alias("until")
+    )
+    keys, loads = value_set(a.terminology, OUTCOME), load_keys(a.profile, LOADS)
+    hits = a.diagnoses
+    for side, small in zip((keys, loads), are_small(keys, loads)):
+        hits = keep_keys(hits, side, small)
+    hits = hits.select("patient_key", "diagnosis_event_key", "start_datetime")
+    found = events_in_windows(windows, hits, "surgery_start_datetime", "until", "start_datetime")
+    return portable(found.drop("until"))
+
+
+@query
+def cohort_semi_join_of_many_keys(spark, folder):
+    """Orders of the listed customers as for keys too many to broadcast: filtered, then shuffled."""
+    a = Analogue(spark, folder)
+    listed = a.table("customer").where(F.col("c_acctbal") > 9000)
+    keys = listed.select(F.col("c_custkey").alias("o_custkey"))
+    orders = a.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return portable(keep_keys(orders, keys, small=False))

@@ -1,7 +1,8 @@
 """Loading, schema checks, named intermediates and the CSV sink."""
 
 import csv
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -12,11 +13,13 @@ from cohortloom.operators.medications import cohort_members
 from cohortloom.operators.value_sets import distinct_values, point_lookup
 from cohortloom.sources import (
     VIEWS,
+    DamagedResult,
     Warehouse,
     check_view,
     drop_view,
     load,
     load_table,
+    read_csv,
     replace_view,
     trim_codes,
     view_schema,
@@ -88,31 +91,76 @@ def test_named_intermediates_can_be_rerun(spark):
     assert drop_view(spark, "stage") is False
 
 
-def test_csv_round_trip(spark, tmp_path):
+TEXTS = (
+    "", None, " a ", 'q"x",y\nz', "a\r\nb\rc", "\\", '"', "NULL", "\0", "\t", "#x", "'", '""', ",", "\n", "\u00a0", "漢字", "null",
+)
+NUMBERS = (1.5, None, float("nan"), float("inf"), -0.0, 1e-300, 0.1)
+TYPED = "n long, t string, d double, at timestamp_ntz, b boolean, day date, exact decimal(20,2), u string"
+
+
+def typed_rows():
+    for n, text in enumerate(TEXTS):
+        at = datetime(2015, 1, 1, 8, 0, 0, 123456) if n % 2 else None
+        day = date(1950 + n, 1, 1) if n % 3 else None
+        yield n, text, NUMBERS[n % 7], at, (True, False, None)[n % 3], day, Decimal(f"{n}.25"), TEXTS[-n]
+
+
+@pytest.mark.parametrize("manifest", [True, False])
+def test_csv_round_trip(spark, tmp_path, manifest):
     path = str(tmp_path / "out")
-    frame = spark.createDataFrame(
-        [
-            (1, 'a,"b"', datetime(2015, 1, 1, 8)),
-            (2, None, None),
-            (3, "", None),
-            (4, 'two\nlines, "quoted"', None),
-            (5, "back\\slash", None),
-            (6, '"', None),
-        ],
-        "ir_id long, t string, at timestamp_ntz",
-    )
-    write_csv(frame.limit(0), path)
-    write_csv(frame, path)
-    reader = spark.read.option("header", True).option("multiLine", True).schema(frame.schema)
-    # Spark reads any empty field as NULL; the file tells an empty text apart.
-    assert rows(reader.csv(path, escape='"')) == rows(frame.replace("", None, "t"))
-    assert '3,"",' in "".join(p.read_text() for p in Path(path).glob("*.csv"))
+    frame = spark.createDataFrame(list(typed_rows()), TYPED).repartition(3)
+    write_csv(frame.limit(0), path, manifest=manifest)
+    assert read_csv(spark, path, frame.schema, verify=True).collect() == []
+    write_csv(frame, path, manifest=manifest)
+    found = read_csv(spark, path, None if manifest else TYPED, verify=True)
+    assert found.schema == frame.schema
+    assert [repr(r) for r in found.orderBy("n").collect()] == [repr(r) for r in frame.orderBy("n").collect()]
     read = []
     for part in Path(path).glob("*.csv"):
         with part.open(newline="") as file:
             read += list(csv.reader(file))[1:]
-    expected = [[str(r.ir_id), r.t or ""] for r in frame.collect()]
-    assert sorted(r[:2] for r in read) == expected
+    assert {int(r[0]): r[1] for r in read} == {n: t or "" for n, t in enumerate(TEXTS)}
+
+
+def test_csv_of_one_column(spark, tmp_path):
+    frame = spark.createDataFrame([(t,) for t in TEXTS if t is not None], "t string")
+    write_csv(frame, str(tmp_path / "out"), manifest=True)
+    assert rows(read_csv(spark, str(tmp_path / "out"), verify=True)) == rows(frame)
+
+
+def test_csv_without_manifest_needs_a_schema(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_csv(spark.range(3), path)
+    with pytest.raises(ValueError, match="no manifest"):
+        read_csv(spark, path)
+    with pytest.raises(ValueError, match="manifest tells all parts"):
+        write_csv(spark.range(3), path, mode="append", manifest=True)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, "other long").collect()
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        write_csv(spark.createDataFrame([("x",)], "id string"), path)
+        read_csv(spark, path, "id long").collect()
+
+
+def test_damaged_results_are_refused(spark, tmp_path):
+    path = tmp_path / "out"
+    write_csv(spark.range(100).repartition(4), str(path), manifest=True)
+    assert read_csv(spark, str(path), verify=True).count() == 100
+    part = sorted(path.glob("*.csv"))[0]
+    whole = part.read_text()
+    part.write_text(whole + "7\n")
+    (path / f".{part.name}.crc").unlink()
+    with pytest.raises(DamagedResult, match=part.name):
+        read_csv(spark, str(path))
+    assert len(whole) > 5
+    digits = str.maketrans("12", "21")
+    part.write_text(whole.translate(digits) if whole.translate(digits) != whole else whole.replace("3", "4"))
+    read_csv(spark, str(path))  # sizes agree
+    with pytest.raises(DamagedResult, match="rows differ"):
+        read_csv(spark, str(path), verify=True)
+    part.unlink()
+    with pytest.raises(DamagedResult, match=part.name):
+        read_csv(spark, str(path))
 
 
 def test_trailing_blanks(spark):
