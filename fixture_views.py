@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.index import NO_ENCOUNTER
 from cohortloom.sources import Warehouse, load
-from oracle_values import CONDITION_CODES, DRUG_PATTERNS, split, surgery_codes
+from oracle_values import CONDITION_CODES, DRUG_PATTERNS, SURGERY_CODES
 
 BASE_TABLES = {
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
@@ -210,7 +210,7 @@ def procedure_entries() -> list[tuple]:
     systems = {5: "CPT", 7: "ICD10"}
     listed = [
         ("ICD9" if "." in code else systems[len(code)], code, f"Bypass {n} at 50% o'clock")
-        for n, code in enumerate(surgery_codes())
+        for n, code in enumerate(SURGERY_CODES)
     ]
     other = [
         ("CPT", "33515", "Not a bypass"),
@@ -226,7 +226,7 @@ def term_entries() -> list[tuple]:
     rows = []
     for _, system, kind, codes in CONDITION_CODES:
         for code_set in (system or "ICD-9-CM", "LOCAL"):
-            for code in codes.split():
+            for code in codes:
                 if kind == "code":
                     rows.append((code_set, code, code.split(".")[0], "Entry"))
                 else:
@@ -254,7 +254,7 @@ def drug_entries() -> list[tuple]:
     """(brand, generic): a name for every pattern, near misses, and other drugs."""
     rows = []
     for _, *lists in DRUG_PATTERNS:
-        named = [(column, p) for column, patterns in enumerate(lists) for p in split(patterns)]
+        named = [(column, p) for column, patterns in enumerate(lists) for p in patterns]
         for n, (column, pattern) in enumerate(named):
             name = pattern.strip("%").replace("%", " x ")
             name = ("Oral " if pattern.startswith("%") else "") + name

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import drugs, expressions, vocabulary
 from cohortloom.operators.medications import classify_medications
-from oracle_values import DRUG_PATTERNS, split, surgery_codes
+from oracle_values import CONDITION_CODES, DRUG_PATTERNS, SURGERY_CODES
 
 
 def test_bypass_codes():
     codes = vocabulary.BYPASS_CODES
     assert len(codes) == len(set(codes)) == 273
-    assert set(codes) == set(surgery_codes())
+    assert len(SURGERY_CODES) == 273 and sorted(codes) == sorted(SURGERY_CODES)
+    assert [len(x) for x in (vocabulary.BYPASS_CPT, vocabulary.BYPASS_ICD9, vocabulary.BYPASS_ICD10)] == [16, 9, 248]
     assert {"0210093", "02100ZF", "0210344", "02103D4", "02104D4", "02134ZF", "021249W"} <= set(codes)
     assert not {"02100ZW", "0210044", "02103Z3", "02104ZW"} & set(codes)
 
@@ -24,7 +25,7 @@ def test_bypass_codes():
 def test_drug_patterns_are_whole():
     assert sum(len(c.patterns()) for c in drugs.DRUG_CLASSES) == 300
     own = [(c.label, c.brand, c.generic) for c in drugs.DRUG_CLASSES]
-    assert own == [(n, tuple(split(b)), tuple(split(g))) for n, b, g in DRUG_PATTERNS]
+    assert own == list(DRUG_PATTERNS)
 
 
 def test_covered_patterns_are_left_off():
@@ -40,6 +41,17 @@ def test_condition_order_is_the_matrix_order():
     ]
 
 
+def test_condition_codes_are_whole():
+    rules = {r.name: r for r in (vocabulary.AF_OUTCOME, *vocabulary.HISTORY_CONDITIONS)}
+    for name, system, kind, codes in CONDITION_CODES:
+        own = [
+            b.codes if kind == "code" else b.bases or b.base_between
+            for b in rules[name].branches
+            if system is None or system in b.code_sets
+        ]
+        assert codes in own, (name, system, kind)
+
+
 # Names that a longer pattern of the class would match, and one that no pattern does.
 NAMED = [
     (None, "Captopril / Hydrochlorothiazide", {"ACE inhibitors"}),
