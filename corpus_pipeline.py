@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import line_dedup, mixing, near_copies, packing, quality_rules
+from cohortloom.llm import line_dedup, mixing, packing, quality_rules, simhash
 from cohortloom.operators.materialize import ensure_checkpoint_dir
 
 
@@ -30,8 +30,11 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity 0.8 or more) the one of smallest id stays."""
-    return near_copies.one_of_each(docs)
+    """Of each group of fingerprints linked at 4 or fewer differing bits the document of smallest id stays.
+
+    The operator's own shingles of four words and its bit distance decide, without another check.
+    """
+    return simhash.one_of_each(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +62,7 @@ STAGES = [
     ("mixing", mixed_sources),
     ("packing", packed_sequences),
 ]
-#: No SQL: rules are learned, near copies need XXH64 and packing a tokenizer.
+#: No SQL: rules are learned, fingerprints need XXH64 and packing a tokenizer.
 ORACLE_SQL = None
 
 
