@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import modest_batches
 from cohortloom.llm.components import connected_components
+from cohortloom.operators.index import first_event
 from cohortloom.operators.materialize import settle
 
 SHINGLE = 4
@@ -226,12 +227,17 @@ def hex_digits(fp: str = "fp"):
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of smallest id of each group, once; rows with a null id stay as they are."""
+    """The document of smallest id of each group, once; rows with a null id stay as they are.
+
+    Of different rows with that id, the first by text and then by the other columns stays.
+    """
     kept = (
         near_duplicates(docs, id_column, text)
         .filter(F.col("id") == F.col("component"))
         .select(F.col("id").alias(id_column))
         .distinct()
     )
-    stay = docs.join(kept, id_column).dropDuplicates([id_column]).select(*docs.columns)
+    # An id is repeated rarely; the window's partial limit keeps one row of it per task.
+    others = [c for c in docs.columns if c not in (id_column, text)]
+    stay = first_event(docs.join(kept, id_column), id_column, text, others).select(*docs.columns)
     return stay.unionAll(docs.filter(F.col(id_column).isNull()))
