@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm import ann, bwt_dedup, common, conversation_repair, importance, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, substring_dedup, warc
+from cohortloom.llm.license_notices import NOTICES
 from cohortloom.operators.materialize import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,10 +222,7 @@ def op10_license_scan(spark, folder):
 
 
 _NOTICES = ", ".join(
-    f"({turn}, '{name}', '{text.lower()}')"
-    for turn, (name, text) in enumerate(
-        (n, t) for n, texts in sorted(license_scan.TEMPLATES.items()) for t in texts
-    )
+    f"({turn}, '{name}', '{text.lower().replace(chr(39), chr(39) * 2)}')" for turn, (name, text) in enumerate(NOTICES)
 )
 SQL["op10_license_scan"] = rf"""
 WITH notices(turn, name, notice) AS (VALUES {_NOTICES}),
@@ -236,21 +234,32 @@ nt AS (
 p AS (
     SELECT page_id, row_number() OVER () AS row,
            regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare,
-           string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)) AS lines
+           regexp_replace(lower(regexp_replace(html, '<[^>]*>', chr(10), 'g')), '[^a-z0-9\n]+', ' ', 'g') AS plain
     FROM pages
 ),
 f AS (SELECT page_id, row, CASE WHEN contains(bare, '/') THEN bare ELSE bare || '/' END AS path FROM p),
 l AS (
-    SELECT row, place, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms
-    FROM (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM p)
-    WHERE regexp_matches(lower(line), '[a-z0-9]')
+    SELECT row, string_split(trim(line, ' '), ' ') AS terms
+    FROM (SELECT row, unnest(string_split(plain, chr(10))) AS line FROM p) WHERE trim(line, ' ') <> ''
+),
+texts AS (
+    SELECT row, string_split(joined, ' ') AS terms, row_number() OVER () AS place
+    FROM (
+        SELECT DISTINCT row, trim(regexp_replace(text, '[ \n]+', ' ', 'g'), ' ') AS joined
+        FROM (
+            SELECT row, unnest(string_split(plain, chr(10))) AS text FROM p
+            UNION ALL SELECT row, unnest(string_split_regex(plain, '\n( ?\n)+')) FROM p
+            UNION ALL SELECT row, plain FROM p
+        )
+    ) WHERE joined <> ''
 ),
 total AS (SELECT count(*) AS n FROM l),
+df AS (SELECT term, count(*) AS lines FROM (SELECT unnest(list_distinct(terms)) AS term FROM l) GROUP BY term),
 lt AS (SELECT row, place, term, count(*) AS tf
-       FROM (SELECT row, place, unnest(terms) AS term FROM l) GROUP BY ALL),
+       FROM (SELECT row, place, unnest(terms) AS term FROM texts) GROUP BY ALL),
 idf AS (
-    SELECT term, ln((1 + any_value(n)) / (1 + count(row))) + 1 AS weight
-    FROM (SELECT DISTINCT term FROM nt) LEFT JOIN lt USING (term), total GROUP BY term
+    SELECT term, ln((1 + n) / (1 + coalesce(lines, 0))) + 1 AS weight
+    FROM (SELECT DISTINCT term FROM nt) LEFT JOIN df USING (term), total
 ),
 lw AS (
     SELECT row, place, term, tf * coalesce(weight, ln(1 + n) + 1) AS x

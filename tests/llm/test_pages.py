@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import license_scan, line_dedup, warc
+from cohortloom.llm import license_notices, license_scan, line_dedup, warc
 from plan_tools import final_plan
 from .helpers import SMALL, documents, rows
 
@@ -115,44 +115,118 @@ def test_no_pages(spark, tmp_path):
     assert warc.read(spark, folder).count() == 0
 
 
-def scores(lines):
-    """Best (score, licence) of each line, by the formula alone."""
-    split = [re.findall("[a-z0-9]+", x.lower()) for x in lines]
-    split = [x for x in split if x]
-    templates = [(n, Counter(re.findall("[a-z0-9]+", t.lower()))) for n, ts in sorted(license_scan.TEMPLATES.items()) for t in ts]
+def terms(text):
+    return re.findall("[a-z0-9]+", text.lower())
+
+
+def texts_of(lines):
+    """Lines, runs of lines with terms, and all of them, as terms."""
+    runs, run = [], []
+    for line in [*lines, ""]:
+        if terms(line):
+            run += terms(line)
+        elif run:
+            runs, run = [*runs, run], []
+    return [x for x in [*map(terms, lines), *runs, [t for line in lines for t in terms(line)]] if x]
+
+
+def best_licences(files):
+    """Best (licence, score) of every file, given as lines, by the formula alone."""
+    split = [terms(line) for lines in files for line in lines if terms(line)]
+    templates = [(n, Counter(terms(t))) for n, t in license_notices.NOTICES]
     known = {t for _, c in templates for t in c}
-    df = Counter(t for x in split for t in set(x))
-    idf = lambda t: log((1 + len(split)) / (1 + (df[t] if t in known else 0))) + 1
-    out = []
-    for line in map(Counter, split):
-        norm = sqrt(sum((n * idf(t)) ** 2 for t, n in line.items()))
-        cosines = [(round(sum(line[t] * n * idf(t) ** 2 for t, n in c.items()) / norm / sqrt(sum((n * idf(t)) ** 2 for t, n in c.items())), 6), name) for name, c in templates]
-        best = max(s for s, _ in cosines)
-        out.append((best, next(n for s, n in cosines if s == best)))
-    return out
+    df = Counter(t for x in split for t in set(x) & known)
+
+    def idf(t):
+        return log((1 + len(split)) / (1 + df[t])) + 1
+
+    norms = [sqrt(sum((n * idf(t)) ** 2 for t, n in c.items())) for _, c in templates]
+    for lines in files:
+        best = (None, None)
+        for text in map(Counter, texts_of(lines)):
+            norm = sqrt(sum((n * idf(t)) ** 2 for t, n in text.items()))
+            for (name, c), other in zip(templates, norms):
+                score = round(sum(text[t] * n * idf(t) ** 2 for t, n in c.items() if t in text) / norm / other, 6)
+                if score >= license_scan.THRESHOLD and score > (best[1] or 0):
+                    best = (name, score)
+        yield best
+
+
+def test_notices_of_the_sql_are_the_templates():
+    assert list(license_notices.NOTICES) == [(n, t) for n, ts in sorted(license_scan.TEMPLATES.items()) for t in ts]
+
+
+MIT_FILE = """The MIT License (MIT)
+
+Copyright (c) 2019 Some Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+HEADERS = [
+    (MIT_FILE, "MIT"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "GPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,", "GPL-2.0"),
+    ("/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+     " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */\n\nint main() {\n  return 0;\n}", "GPL-3.0"),
+    ("# Licensed under the Apache License, Version 2.0 (the\n# 'License'); you may not use this file except in\n# compliance with the License.\n\nimport os\nprint(os.name)", "Apache-2.0"),
+    ("// Permission to use, copy, modify, and/or distribute this software\n// for any purpose with or without fee is hereby granted, provided\n"
+     "// that the above copyright notice and this permission notice\n// appear in all copies.", "ISC"),
+    ("The general of the public army had no license to march in June", None),
+]
+
+
+def test_headers_of_several_lines_and_whole_licence_files(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(10**9 + i, t) for i, (t, _) in enumerate(HEADERS)], table.schema)
+    found = license_scan.own_licences(table.unionAll(extra), F.split("text", "\n")).filter("doc_id >= 1000000000")
+    got = {r.doc_id - 10**9: (r.own_licence, r.own_score) for r in found.collect()}
+    assert {i: name for i, (name, _) in got.items()} == {i: name for i, (_, name) in enumerate(HEADERS)}
+    # A header is nearer to its template than any of its lines is.
+    lines = [(10**9 + i, line) for i in (3, 5) for line in HEADERS[i][0].split("\n")]
+    alone = license_scan.own_licences(table.unionAll(spark.createDataFrame(lines, table.schema)), F.array("text"))
+    for r in alone.filter("doc_id >= 1000000000").collect():
+        assert (r.own_score or 0) < got[r.doc_id - 10**9][1] - 0.05
 
 
 def test_scores_match_the_formula(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    extra = spark.createDataFrame([(10_001, "x\nLicensed under the MIT licence, or Apache License 2.0"), (10_002, None), (10_003, ""), (10_004, "GNU General Public License version 3 or 2")], table.schema)
-    docs = table.unionAll(extra)
+    some = [(10_001, "x\nLicensed under the MIT licence, or Apache License 2.0"), (10_002, None), (10_003, ""), (10_004, "GNU General Public License version 3 or 2"),
+            (10_005, "All rights reserved.\n" + "many words " * 100_000), (10_006, "licensed\n \nunder CC BY 4.0")]
+    docs = table.unionAll(spark.createDataFrame(some + [(10_010 + i, t) for i, (t, _) in enumerate(HEADERS)] * 2, table.schema))
     data = [(r.doc_id, (r.text or "").split("\n")) for r in docs.collect()]
-    flat = iter(scores([line for _, own in data for line in own]))
-    expected = []
-    for i, own in data:
-        best = (0.0, None)
-        for line in own:
-            if re.findall("[a-z0-9]+", line.lower()):
-                score, name = next(flat)
-                best = max(best, (score, name), key=lambda x: x[0])
-        passed = best[0] >= license_scan.THRESHOLD
-        expected.append((i, best[1] if passed else None, best[0] if passed else None))
+    expected = sorted(zip((i for i, _ in data), best_licences([lines for _, lines in data])), key=str)
     found = license_scan.own_licences(docs, F.split("text", "\n"))
-    got = {r.doc_id: (r.own_licence, r.own_score) for r in found.collect()}
-    assert got.keys() == {i for i, _, _ in expected}
-    for i, name, score in expected:
-        assert got[i][0] == name and (score is None or abs(got[i][1] - score) < 2e-6)
-    assert sum(name is not None for _, name, _ in expected) >= 5
+    got = sorted(((r.doc_id, (r.own_licence, r.own_score)) for r in found.collect()), key=str)
+    assert [(i, name) for i, (name, _) in got] == [(i, name) for i, (name, _) in expected]
+    assert all(a is None is b or abs(a - b) < 2e-6 for (_, (_, a)), (_, (_, b)) in zip(got, expected))
+    assert sum(name is not None for _, (name, _) in expected) >= 5
+
+
+def test_helper_names_and_empty_tables_of_scans(spark):
+    clashing = ("own_licence", "_best", "f1", "f2", "t1", "chosen", "place", "folder", "name", "inside", "nearest", "holder", "plain", "term", "licence")
+    data = [("h/LICENSE", "Licensed under the MIT License."), ("h/a", "words"), (None, None)]
+    frame = spark.createDataFrame([(*r, *clashing) for r in data], ", ".join(f"{c} string" for c in ("path", "body", *clashing)))
+    found = license_scan.scan(frame, F.col("path"), F.split("body", "\n"))
+    kept = [c for c in clashing if c not in ("own_licence", "licence")]
+    assert {tuple(r[c] for c in kept) for r in found.collect()} == {tuple(kept)}
+    assert rows(found, "path", "own_licence", "licence", "inherited_from") == sorted(
+        [("h/LICENSE", "MIT", "MIT", None), ("h/a", None, "MIT", "h"), (None, None, None, None)], key=str)
+    assert license_scan.scan(frame.limit(0), F.col("path"), F.split("body", "\n")).count() == 0
 
 
 def test_licence_texts_that_are_not_templates(spark):
