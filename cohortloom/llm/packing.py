@@ -1,13 +1,13 @@
 """Best-fit packing of token sequences by a configuration linear program.
 
 Only the histogram of piece lengths reaches the driver (one count per length up to the
-capacity). A configuration says how many pieces of each length share one sequence. The linear
+capacity). A configuration says how many pieces of each length share one full sequence. The linear
 program, fewest configurations that cover the histogram, is solved by multiplicative weights:
-each length has a weight that falls exponentially with its coverage; an unbounded knapsack by
-dynamic programming prices configurations, the best one around every length per round; every
-priced configuration is raised by a small step. The fractional solution is rounded down, and
-what it leaves over is packed by best fit on the histogram, whole multiples at a time, so the work
-on the driver does not depend on the number of documents.
+each length has a weight that falls exponentially with its coverage, a knapsack by dynamic programming
+prices all rooms of a sequence, and configurations are traced through it from the pieces that there
+are, one around every length per round. The fractional solution is rounded; what rounding leaves over is
+solved as a program of its own, until nothing more fills a sequence. The few pieces that remain are packed by
+best fit. The work on the driver depends on the capacity, not on the number of documents.
 
 Pieces of one length are interchangeable, so a piece only needs its rank among those of its
 length: counts per (length, salt) give the rank's start, a window within (length, salt) the rest.
@@ -47,8 +47,8 @@ CACHED_WORDS = 400_000
 CACHED_BYTES = 12  # of a word; longer ones hardly come again
 MARK = "\x01"  # one token between words that are encoded together
 CHUNK_WORDS = 300_000  # words of texts that are encoded together
-ROUNDS = 8
-TOLERANCE = 0.002  # of the capacity or of the best price
+ROUNDS = 4
+EPSILON = 1e-9
 PIECES_PER_SALT = 100_000
 
 
@@ -163,76 +163,84 @@ Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
 def _price(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unbounded knapsack for every room up to the capacity: best value, and a piece to take."""
+    """Knapsack values of every room up to the capacity, and how many lengths fit in it."""
     best = np.zeros(capacity + 1)
-    take = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
+    for room in range(int(lengths[0]), capacity + 1):
         k = fits[room]
-        if k:
-            total = best[room - lengths[:k]] + value[:k]
-            i = int(total.argmax())
-            best[room], take[room] = total[i], i
-    return best, take
+        best[room] = max(0.0, (best[room - lengths[:k]] + value[:k]).max())
+    return best, fits
 
 
 def _configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> dict[Pattern, float]:
-    """A fractional packing of the histogram, by multiplicative weights.
+    """A fractional packing of the histogram into full sequences, by multiplicative weights.
 
-    A round prices the best configuration around every length that is not covered yet and
-    raises those whose value is within ``TOLERANCE`` of the best of all.
+    Each round prices the lengths anew and lets every length be covered by another ``1 / rounds``.
+    Around every length that still may be, longest first, the knapsack is traced
+    through what is left: a piece may be used as often as it exists and while its length may still be
+    covered. A configuration that fills a sequence is raised until a length of it is covered.
     """
     covered = np.zeros(len(lengths))
     amount: dict[Pattern, float] = {}
-    step = 1.0 / rounds
-    for _ in range(rounds + rounds // 2):
-        due = np.flatnonzero(covered < 1 - 1e-9)
-        if not len(due):
-            break
+    for turn in range(1, rounds + 1):
         # Weight by length is the optimal price of a perfect packing; coverage tilts it.
-        tilt = np.exp(-(covered[due] - covered[due].min()))
-        weight, sizes = lengths[due] / capacity * tilt, lengths[due]
-        best, take = _price(sizes, weight, capacity)
-        priced = best[capacity - sizes] + weight
-        before = covered.copy()
-        for first in np.flatnonzero(priced >= (1 - TOLERANCE) * best[capacity])[::-1]:
-            if covered[due[first]] >= min(1.0, before[due[first]] + step):
+        value = lengths / capacity * np.exp(-(covered - covered.min()))
+        best, fits = _price(lengths, value, capacity)
+        free = turn / rounds - covered
+        for first in range(len(lengths) - 1, -1, -1):
+            if free[first] < EPSILON:
                 continue
-            used = {int(first): 1}
-            room = capacity - int(sizes[first])
-            while (i := int(take[room])) >= 0:
-                used[i] = used.get(i, 0) + 1
-                room -= int(sizes[i])
-                if used[i] > counts[due[i]]:  # there are not so many
-                    room = capacity
+            used, room = {first: 1}, capacity - int(lengths[first])
+            while k := fits[room]:
+                total = np.where(free[:k] >= EPSILON, best[room - lengths[:k]] + value[:k], -1.0)
+                for i, n in used.items():
+                    if i < k and n >= counts[i]:
+                        total[i] = -1.0
+                i = int(total.argmax())
+                if total[i] < 0:
                     break
-            if room > TOLERANCE * capacity:
+                used[i] = used.get(i, 0) + 1
+                room -= int(lengths[i])
+            if room:
                 continue
-            raise_by = step * min(counts[due[i]] / n for i, n in used.items())
+            raise_by = min(free[i] * counts[i] / n for i, n in used.items())
             for i, n in used.items():
-                covered[due[i]] += raise_by * n / counts[due[i]]
-            pattern = tuple(sorted(((int(sizes[i]), n) for i, n in used.items()), reverse=True))
+                covered[i] += raise_by * n / counts[i]
+                free[i] -= raise_by * n / counts[i]
+            pattern = tuple(sorted(((int(lengths[i]), n) for i, n in used.items()), reverse=True))
             amount[pattern] = amount.get(pattern, 0.0) + raise_by
     return amount
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Pattern, int]]:
-    """Configurations and how many sequences each fills; together exactly the histogram."""
-    left = {n: c for n, c in histogram.items() if c > 0}
-    if not left:
-        return []
-    lengths = np.array(sorted(left))
-    counts = np.array([left[int(n)] for n in lengths], float)
-    chosen: list[tuple[Pattern, int]] = []
-
-    def use(pattern: Pattern, times: int) -> None:
-        chosen.append((pattern, times))
-        for length, n in pattern:
-            left[length] -= n * times
+def _program(histogram: dict[int, int], capacity: int, rounds: int) -> Iterator[tuple[Pattern, int]]:
+    """Configurations of the rounded linear program, with how many sequences each fills.
 
-    for pattern, amount in _configurations(lengths, counts, capacity, rounds).items():
-        if times := min([int(amount), *(left[length] // n for length, n in pattern)]):
-            use(pattern, times)
+    Amounts are rounded down, then up by their fractions, largest first, as far as pieces are left.
+    What rounding leaves over is a histogram again, and a program of its own, until one gives no sequence.
+    """
+    left = dict(histogram)
+    while any(left.values()):
+        lengths = np.array(sorted(n for n, c in left.items() if c))
+        counts = np.array([left[int(n)] for n in lengths])
+        found = _configurations(lengths, counts, capacity, rounds)
+        whole = {pattern: int(amount + EPSILON) for pattern, amount in found.items()}
+        steps = list(whole.items())
+        rest = {pattern: found[pattern] - n for pattern, n in whole.items()}
+        steps += [(p, 1) for p in sorted(rest, key=lambda p: (-rest[p], p)) if rest[p] > EPSILON]
+        taken = 0
+        for pattern, times in steps:
+            times = min([times, *(left[length] // n for length, n in pattern)])
+            if times:
+                taken += times
+                for length, n in pattern:
+                    left[length] -= n * times
+                yield pattern, times
+        if not taken:
+            return
+
+
+def _best_fit(left: dict[int, int], capacity: int) -> Iterator[tuple[Pattern, int]]:
+    """Best fit on a histogram, whole multiples at a time."""
     active = sorted(n for n, c in left.items() if c)
     while active:
         used: Counter[int] = Counter()
@@ -248,9 +256,22 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
             used[length] += fit
             room -= fit * length
         pattern = tuple(sorted(used.items(), reverse=True))
-        use(pattern, min(left[length] // n for length, n in pattern))
+        times = min(left[length] // n for length, n in pattern)
+        for length, n in pattern:
+            left[length] -= n * times
+        yield pattern, times
         active = [n for n in active if left[n]]
-    return chosen
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Pattern, int]]:
+    """Configurations and how many sequences each fills; together exactly the histogram."""
+    left = {n: c for n, c in histogram.items() if c > 0}
+    chosen = []
+    for pattern, times in _program(left, capacity, rounds):
+        chosen.append((pattern, times))
+        for length, n in pattern:
+            left[length] -= n * times
+    return chosen + list(_best_fit(left, capacity))
 
 
 def _slots(chosen: list[tuple[Pattern, int]], histogram: dict[int, int]) -> dict[str, np.ndarray]:
