@@ -27,8 +27,11 @@ from cohortloom.operators.medications import (
     medication_exposure,
 )
 from cohortloom.operators.numbering import global_row_number
+from cohortloom.operators.ordering import file_violations
 from cohortloom.operators.outcomes import events_for, label_outcomes, within_window
+from cohortloom.operators.profiles import merge_profiles, profile, profile_state
 from cohortloom.operators.sizing import are_small, broadcast_small, keep_keys
+from cohortloom.operators.states import update_first_events
 from cohortloom.operators.value_sets import distinct_values, load_keys, point_lookup, value_set
 from cohortloom.operators.windows import events_in_windows
 from cohortloom.plans.studies import (
@@ -47,6 +50,7 @@ from cohortloom.sources import (
     with_year,
     write_csv,
 )
+from cohortloom.sources.versions import read_version, stage, write_version
 from fixture_views import Analogue, clinical_warehouse
 
 TYPES = ("PROMO", "ECONOMY", "SMALL")
@@ -589,3 +593,51 @@ def cohort_semi_join_of_many_keys(spark, folder):
     keys = listed.select(F.col("c_custkey").alias("o_custkey"))
     orders = a.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return portable(keep_keys(orders, keys, small=False))
+
+
+# -- versions, order, profiles, states ---------------------------------------------
+
+
+@query
+def committed_version_read(spark, folder):
+    """Orders by status written twice; readers see the version committed last."""
+    orders = Analogue(spark, folder).table("orders")
+    path = shared_folder(spark)
+    for status in ("P", "F"):
+        counted = orders.where(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+        write_version(counted, path, status)
+    again = stage(spark, path, "F", lambda: orders.select("o_custkey", F.lit(0).alias("n")))  # is there, so not built
+    return read_version(spark, path).intersectAll(again)
+
+
+@query
+def study_outcomes_in_order(spark, folder):
+    """The sorted study result written as CSV: its rows, and places where the files are out of order."""
+    labelled = surgery_outcomes(clinical_warehouse(spark, folder))
+    path = shared_folder(spark)
+    write_csv(labelled, path, manifest=True)
+    order = ["ir_id", "surgery_start_datetime", "AF_dxDate", "surgical_case_key"]
+    return file_violations(read_csv(spark, path), order).select("n_rows", "violations")
+
+
+@query
+def column_profiles(spark, folder):
+    """Profiles of parts and nations; the parts' from states of two halves."""
+    a = Analogue(spark, folder)
+    parts = a.table("part").select("p_type", "p_brand", "p_size")
+    halves = [profile_state(parts.where(c)) for c in (F.col("p_size") <= 25, F.col("p_size") > 25)]
+    nations = profile_state(a.table("nation").select("n_nationkey", "n_name", "n_regionkey"))
+    shown = ["column_name", "n_rows", "n_nulls", "n_distinct", "least", "greatest"]
+    of_parts = profile(merge_profiles(*halves, numbers=["p_size"])).select(*shown, F.lit(None).cast("double").alias("median"))
+    return of_parts.unionAll(profile(nations).select(*shown, F.get("quantiles", F.lit(0)).alias("median")))
+
+
+@query
+def first_events_kept_up_to_date(spark, folder):
+    """The first event of each person from a state that three lots of facts were merged into."""
+    events = analogue_events(Analogue(spark, folder)).select("surgical_case_key", "ir_id", "procedure_name", "surgery_start_datetime")
+    path = shared_folder(spark)
+    lot = F.pmod(F.xxhash64("surgical_case_key"), F.lit(3))
+    for number in range(3):
+        state = update_first_events(spark, path, events.where(lot == number), "ir_id", "surgery_start_datetime", "surgical_case_key")
+    return portable(state)
