@@ -36,20 +36,26 @@ def global_row_number(
     order = ascending(order_by)
     ordered = settle(df.repartitionByRange(*order).sortWithinPartitions(*order))
 
-    row_id = F.monotonically_increasing_id()
-    placed = ordered.withColumn("_row_id", row_id).withColumn(
-        "_part", F.shiftright("_row_id", POSITION_BITS)
+    row_id, part, start = _unused([*df.columns, name], ("row_id", "part", "start"))
+    placed = ordered.withColumn(row_id, F.monotonically_increasing_id()).withColumn(
+        part, F.shiftright(row_id, POSITION_BITS)
     )
-    counts = sorted(placed.groupBy("_part").count().collect())
+    counts = sorted(tuple(row) for row in placed.groupBy(part).count().collect())
     starts = accumulate((n for _, n in counts), initial=0)
     offsets = df.sparkSession.createDataFrame(
-        [(part, start) for (part, _), start in zip(counts, starts)],
-        "_part long, _start long",
+        [(number, first) for (number, _), first in zip(counts, starts)],
+        f"{part} long, {start} long",
     )
-    position = F.col("_row_id").bitwiseAND((1 << POSITION_BITS) - 1)
+    position = F.col(row_id).bitwiseAND((1 << POSITION_BITS) - 1)
     # One row per partition, so this side is always small.
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_start") + position + 1)
+        placed.join(F.broadcast(offsets), part)
+        .withColumn(name, F.col(start) + position + 1)
         .select(*df.columns, name)
     )
+
+
+def _unused(columns: Sequence[str], names: Sequence[str]) -> list[str]:
+    """The names, each behind as many underscores as make it differ from every column."""
+    longest = max((len(c) - len(c.lstrip("_")) for c in columns), default=0)
+    return ["_" * (longest + 1) + name for name in names]
