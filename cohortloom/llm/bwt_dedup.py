@@ -3,12 +3,13 @@
 Every byte covered by ``threshold`` bytes that also start in a document with a smaller id is
 removed. Equal windows of that length are brought together first, then decided:
 
+* **Copies.** A text that a smaller id has as a whole loses all its windows, and is not looked at again.
 * **Anchors.** The least hash among the 24-byte strings of a window is its anchor, so equal
   windows have equal anchors. One shuffle of (anchor, id) pairs finds the anchors that stand in
   several documents; only windows with these go on. Consecutive windows of one anchor travel as one
   context, their bytes.
 * **Blocks.** Contexts are dealt out by anchor, so equal windows meet in one block of bounded size.
-  Copies of a context collapse to one, with the least id, within a batch of rows and
+  Copies of a context collapse to one, with the least id, within a task and
   again within a block. An anchor with very many contexts is split: its windows are dealt out one by
   one by their own hash, where only copies of one window can meet.
 * **Interval expansion.** The suffixes of a block's contexts are put in order by prefix
@@ -22,10 +23,12 @@ removed. Equal windows of that length are brought together first, then decided:
 
 An interval is expanded through the first occurrence of each character in it (last-to-first
 mapping), so no rank tables are needed. The order beyond ``threshold`` bytes is left open, which is enough:
-only counts of shorter prefixes enter. Hashes only choose what is compared; bytes decide.
+only counts of shorter prefixes enter. Hashes only choose what is compared, and bytes decide, but for whole
+texts: these are copies if their length and 128 bits of hash agree.
 
-No pair of documents is made, and a passage with a million copies sends one row per batch to its
-block; copies of it in the batch with larger ids are known to be covered and bypass the block.
+No pair of documents is made. A passage with a million copies sends its bytes to its block only a few
+times per task: where a task has met them with a smaller id they are known to be covered, and
+they bypass the block, whole runs of them as one row.
 
 Defined cases: null and empty texts and texts shorter than the threshold lose nothing; documents
 with a null id neither remove nor lose anything; equal ids never remove each other's bytes;
@@ -54,7 +57,8 @@ ANCHOR = 24
 CHUNK = 1 << 18  # bytes that are looked at together
 RUN = 64  # windows of one context at most
 BLOCK = 1 << 19  # bytes whose suffixes are put in order together
-CROWD = 1 << 14  # places of an anchor beyond which its windows are dealt out one by one
+SEEN = 100_000  # contexts that a task remembers with their least id
+CROWD = 1 << 16  # texts with an anchor beyond which its windows are dealt out one by one
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -130,7 +134,8 @@ class Contexts:
         begins = np.array([begin for _, begin, _ in pieces])
         first_byte = np.cumsum(sizes) - sizes
         piece = of[place[runs]]
-        found.anchor = anchor[runs].view(np.int64)
+        # 48 bits are sent: more of them would only save a few comparisons.
+        found.anchor = (_mix(anchor[runs]) >> _U(16)).view(np.int64)
         found.windows = np.diff(np.append(runs, len(place)))
         found.at = place[runs]  # in the joined text
         found.own = np.array([own for own, _, _ in pieces])[piece]
@@ -147,7 +152,7 @@ OPEN, KNOWN, WITNESS = 0, 1, 2
 
 
 def _anchors(threshold: int):
-    """(anchor, id, state): each once per batch. In a batch that repeats an anchor, its rows are
+    """(id, anchor, state): each once per batch. In a batch that repeats an anchor, its rows are
     known, and one witness tells the other batches."""
 
     def emit(batches):
@@ -171,11 +176,11 @@ def _anchors(threshold: int):
             witness = first[several]
             yield pa.record_batch(
                 [
-                    pa.array(np.concatenate([anchor, anchor[witness]])),
                     pa.array(np.concatenate([own, own[witness]])),
+                    pa.array(np.concatenate([anchor, anchor[witness]])),
                     pa.array(np.concatenate([state, np.full(len(witness), WITNESS)]), pa.int32()),
                 ],
-                names=["anchor", "id", "state"],
+                names=["id", "anchor", "state"],
             )
 
     return emit
@@ -189,7 +194,7 @@ def _repeated(batches):
     """
     carried = None
     for batch in batches:
-        anchor, own, state = (batch.column(i).to_numpy() for i in range(3))
+        anchor, own, state = (batch.column(c).to_numpy() for c in ("anchor", "id", "state"))
         if not len(anchor):
             continue
         if carried is not None:
@@ -209,33 +214,52 @@ def _repeated(batches):
 _CONTEXT = "anchor long, body binary, id long, mark int, start int, windows int"
 
 
-def _covered(ids: np.ndarray, bodies: list[bytes]) -> np.ndarray:
-    """Whether the same body is there with a smaller id."""
-    least: dict[bytes, int] = {}
+def _covered(ids: np.ndarray, bodies: list[bytes], least: dict[bytes, int]) -> np.ndarray:
+    """Whether the same body is there with a smaller id, now or before in the same task."""
+    if len(least) > SEEN:
+        least.clear()
     for own, body in zip(ids.tolist(), bodies):
         if own < least.setdefault(body, own):
             least[body] = own
     return ids > np.fromiter(map(least.__getitem__, bodies), np.int64, len(bodies))
 
 
-def _rows(anchor, bodies, ids, marks, starts, windows) -> pa.RecordBatch:
-    """Rows of contexts; those that are covered within the batch need no body any more."""
-    sent = pa.array(bodies, pa.binary(), mask=_covered(ids, bodies))
-    numbers = [pa.array(x, pa.int32()) for x in (marks, starts, windows)]
+def _rows(anchor, bodies, ids, marks, starts, windows, least: dict[bytes, int] | None = None) -> pa.RecordBatch:
+    """Rows of contexts, as they follow each other in their texts.
+
+    Those that are covered already (all, without ``least``) need no body any more, and a run of
+    them becomes one row.
+    """
+    covered = np.ones(len(ids), bool) if least is None else _covered(ids, bodies, least)
+    joins = np.zeros(len(ids), bool)
+    joins[1:] = (
+        covered[1:] & covered[:-1] & (ids[1:] == ids[:-1]) & (marks[1:] == marks[:-1])
+        & (starts[1:] == starts[:-1] + windows[:-1])
+    )
+    first = np.flatnonzero(~joins)
+    windows = np.add.reduceat(windows, first) if len(first) else windows
+    sent = pa.array([None if gone else bodies[i] for i, gone in zip(first.tolist(), covered[first].tolist())], pa.binary())
+    numbers = [pa.array(x, pa.int32()) for x in (marks[first], starts[first], windows)]
     return pa.record_batch(
-        [pa.array(anchor), sent, pa.array(ids), *numbers],
+        [pa.array(anchor[first]), sent, pa.array(ids[first]), *numbers],
         names=["anchor", "body", "id", "mark", "start", "windows"],
     )
 
 
 def _contexts(threshold: int):
-    """The contexts of every text whose anchor is one of its repeated ones."""
+    """The contexts of every text whose anchor is one of its repeated ones; a copy is one row."""
 
     def emit(batches):
+        least: dict[bytes, int] = {}
         for batch in batches:
-            lists = batch.column(3)
-            sizes = lists.value_lengths().fill_null(0).to_numpy()
-            marked = np.flatnonzero(sizes)
+            sizes = batch.column(3).value_lengths().fill_null(0).to_numpy()
+            copy = [mark in (copied or ()) for mark, copied in zip(batch.column(1).to_pylist(), batch.column(4).to_pylist())]
+            copies = batch.filter(pa.array(copy))
+            windows = np.array([len(text) - threshold + 1 for text in copies.column(2).to_pylist()], np.int64)
+            long = np.flatnonzero(windows > 0)
+            ids, marks = (copies.column(i).to_numpy()[long] for i in (0, 1))
+            yield _rows(ids, [b""] * len(long), ids, marks, np.zeros(len(long), np.int64), windows[long])
+            marked = np.flatnonzero((sizes > 0) & ~np.array(copy, bool))
             some = batch.take(pa.array(marked))
             ids, marks = some.column(0).to_numpy(), some.column(1).to_numpy()
             own = np.repeat(np.arange(len(marked)), sizes[marked])
@@ -253,51 +277,72 @@ def _contexts(threshold: int):
                 own = np.concatenate(own)
                 yield _rows(
                     np.concatenate(anchor), [b for some in bodies for b in some], ids[own], marks[own],
-                    np.concatenate(start), np.concatenate(windows),
+                    np.concatenate(start), np.concatenate(windows), least,
                 )
 
     return emit
 
 
-def _single_windows(threshold: int):
-    """Contexts cut into their windows, each under its own hash."""
+def _split(threshold: int):
+    """The same rows, but those of crowded anchors are cut into windows, each under its own hash."""
 
     def emit(batches):
+        least: dict[bytes, int] = {}
         for batch in batches:
+            crowded = batch.column("crowded").fill_null(False).to_numpy(zero_copy_only=False)
+            crowded &= batch.column("body").is_valid().to_numpy(zero_copy_only=False)
+            kept = batch.select(batch.schema.names[:-1])
+            yield kept.filter(pa.array(~crowded))
+            batch = kept.filter(pa.array(crowded))
             windows = batch.column("windows").to_numpy()
-            within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
             of = np.repeat(np.arange(len(windows)), windows)
+            within = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
             ids, marks, starts = (batch.column(c).to_numpy()[of] for c in ("id", "mark", "start"))
             bodies = batch.column("body").to_pylist()
             cut = [bodies[i][j : j + threshold] for i, j in zip(of.tolist(), within.tolist())]
             hashes = [int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True) for b in cut]
             if cut:
-                yield _rows(np.array(hashes, np.int64), cut, ids, marks, starts + within, np.ones(len(of), np.int64))
+                yield _rows(np.array(hashes, np.int64), cut, ids, marks, starts + within, np.ones(len(of), np.int64), least)
 
     return emit
 
 
 def suffix_order(text: np.ndarray, threshold: int) -> np.ndarray:
     """All suffixes of ``text``, the empty one first, in the order of their first ``threshold`` bytes."""
-    n = len(text)
-    padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = text.astype(np.uint64) + _U(1)
-    key = np.zeros(n + 1, np.uint64)
-    for j in range(7):  # nine bits for each of seven characters, zero behind the end
-        key = key << _U(9) | padded[j : n + 1 + j]
-    known = 7
+    size = len(text) + 1
+    width = size.bit_length()
+    used = np.flatnonzero(np.bincount(text, minlength=256))
+    bits = max(1, len(used).bit_length())
+    codes = np.zeros(256, np.uint64)
+    codes[used] = np.arange(1, len(used) + 1)
+    known = min(threshold, max(1, (64 - width) // bits))
+    padded = np.zeros(size + known, np.uint64)  # zero behind the end
+    padded[: size - 1] = codes[text]
+    key = np.zeros(size, np.uint64)
+    for j in range(known):
+        key = key << _U(bits) | padded[j : size + j]
+    bits *= known
     while True:
-        order = np.argsort(key)
-        new = np.ones(n + 1, bool)
-        new[1:] = key[order[1:]] != key[order[:-1]]
+        order, new = _ordered(key, bits, width)
         if known >= threshold:
             return order
-        rank = np.empty(n + 1, np.uint64)
+        rank = np.empty(size, np.uint64)
         rank[order] = np.cumsum(new)
         step = min(known, threshold - known)
-        key = rank << _U(32)
+        key = rank << _U(width)
         key[:-step] |= rank[step:]
-        known += step
+        bits, known = 2 * width, known + step
+
+
+def _ordered(key: np.ndarray, bits: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of their keys, and where a key differs from the one before."""
+    if bits + width <= 64:  # key and place fit in one word, and sorting words is much faster
+        packed = np.sort(key << _U(width) | np.arange(len(key), dtype=np.uint64))
+        order, ordered = (packed & _U((1 << width) - 1)).astype(np.int32), packed >> _U(width)
+    else:
+        order = np.argsort(key).astype(np.int32)
+        ordered = key[order]
+    return order, np.append(True, ordered[1:] != ordered[:-1])
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, threshold: int) -> np.ndarray:
@@ -306,26 +351,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, threshold: int) -> np.n
     size = len(order)
     before = text[order - 1].copy()  # the transform; the whole text has no character before it
     none = int(np.flatnonzero(order == 0)[0])
-    rows = np.argsort(before, kind="stable")
+    rows = np.argsort(before, kind="stable").astype(np.int32)
     rows = rows[rows != none]
-    to_first = np.zeros(size, np.int64)
-    to_first[rows] = np.arange(1, size)  # row 0 is the empty suffix
-    earlier = np.full(size, -1)  # the last row before with the same character
+    to_first = np.zeros(size, np.int32)
+    to_first[rows] = np.arange(1, size, dtype=np.int32)  # row 0 is the empty suffix
+    earlier = np.full(size, -1, np.int32)  # the last row before with the same character
     same = before[rows[1:]] == before[rows[:-1]]
     earlier[rows[1:][same]] = rows[:-1][same]
     earlier[none] = size  # never the first of an interval
     prefix = np.full(size + 1, _UNSET, np.uint8)
     prefix[[0, size]] = 0
-    begins, widths = np.zeros(1, np.int64), np.array([size])
+    begins, widths = np.zeros(1, np.int32), np.array([size], np.int32)
     for length in range(threshold):
-        of = np.repeat(np.arange(len(begins)), widths)
-        row = np.arange(widths.sum()) - np.repeat(np.cumsum(widths) - widths, widths) + begins[of]
-        extended = to_first[row[earlier[row] < begins[of]]]
-        begins = np.unique(extended[prefix[extended] == _UNSET])
+        begin = np.repeat(begins, widths)
+        row = np.arange(len(begin), dtype=np.int32)
+        row += np.repeat(begins - (np.cumsum(widths) - widths).astype(np.int32), widths)
+        extended = to_first[row[earlier[row] < begin]]
+        fresh = np.zeros(size, bool)
+        fresh[extended[prefix[extended] == _UNSET]] = True
+        begins = np.flatnonzero(fresh).astype(np.int32)
         if not len(begins):
             break
         prefix[begins] = length
-        bounds = np.flatnonzero(prefix != _UNSET)
+        bounds = np.flatnonzero(prefix != _UNSET).astype(np.int32)
         widths = bounds[np.searchsorted(bounds, begins, "right")] - begins
     return prefix[:-1]
 
@@ -427,6 +475,22 @@ def _cut(batches):
         )
 
 
+def _copies(texts: DataFrame) -> DataFrame:
+    """(id, copied): the marks of an id's texts that a smaller id has too, as a whole.
+
+    Texts are compared by their length and 128 bits of hash.
+    """
+    key = ["size", "h1", "h2"]
+    hashed = texts.select(
+        "id", "mark", F.octet_length("body").alias("size"), F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2")
+    )
+    hashed = settle(hashed.distinct())
+    firsts = hashed.groupBy(*key).agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    # Both sides are written, so that AQE can split the key of very many copies.
+    later = hashed.join(settle(firsts.drop("last")), key).filter("first < id")
+    return settle(later.groupBy("id").agg(F.collect_set("mark").alias("copied")))
+
+
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: int = THRESHOLD
 ) -> DataFrame:
@@ -445,13 +509,15 @@ def remove_repeats(
         body.alias("body"),
     )
     known_ids = texts.filter("id is not null").select("id", "body")
-    found = known_ids.mapInArrow(_anchors(threshold), "anchor long, id long, state int")
+    found = known_ids.mapInArrow(_anchors(threshold), "id long, anchor long, state int")
     route = F.when(F.col("state") == KNOWN, F.xxhash64("id")).otherwise(F.col("anchor"))
     sorted_anchors = found.repartition(route).sortWithinPartitions("anchor")
     repeated = sorted_anchors.mapInArrow(_repeated, "id long, anchor long")
     lists = settle(repeated.groupBy("id").agg(F.collect_set("anchor").alias("anchors")))
+    copies = _copies(texts.filter("id is not null"))
     # Outer joins, so that both read the same shuffle of the texts.
-    wanted = texts.join(lists, "id", "left").select("id", "mark", "body", "anchors")
+    wanted = texts.join(lists.join(copies, "id", "full"), "id", "left")
+    wanted = wanted.select("id", "mark", "body", "anchors", "copied")
     contexts = wanted.mapInArrow(_contexts(threshold), _CONTEXT)
     crowded = settle(
         lists.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor")
@@ -459,9 +525,7 @@ def remove_repeats(
     if crowded.head(1):
         many = broadcast_small(crowded.withColumn("crowded", F.lit(True)))[0]
         told = contexts.join(many, "anchor", "left").select(*contexts.columns, "crowded")
-        split = told.filter("crowded and body is not null").drop("crowded")
-        single = split.mapInArrow(_single_windows(threshold), _CONTEXT)
-        contexts = told.filter("crowded is null or body is null").drop("crowded").unionAll(single)
+        contexts = told.mapInArrow(_split(threshold), _CONTEXT)
     route = F.when(F.col("body").isNull(), F.xxhash64("id")).otherwise(F.col("anchor"))
     dealt = contexts.repartition(route).sortWithinPartitions("anchor")
     spans = dealt.mapInArrow(_blocks(threshold), "id long, mark int, begin int, end int")

@@ -83,6 +83,8 @@ def in_process(given, size, threshold=50):
     for own, anchor in set(zip(*(pa.Table.from_batches(found)[c].to_pylist() for c in ("id", "anchor")))):
         listed.setdefault(own, []).append(anchor)
     wanted = texts.append_column("anchors", pa.array([listed.get(i) for i in ids], pa.list_(pa.int64())))
+    copied = [[k] if any(i < own and other == text for i, other in given) else None for k, (own, text) in enumerate(given)]
+    wanted = wanted.append_column("copied", pa.array(copied, pa.list_(pa.int32())))
     contexts = pa.Table.from_batches(bwt_dedup._contexts(threshold)(in_batches(wanted, size))).sort_by("anchor")
     spans = {}
     for row in pa.Table.from_batches(bwt_dedup._blocks(threshold)(in_batches(contexts, size))).to_pylist():
