@@ -13,7 +13,8 @@ sources, which returns two numbers.
 
 Defined cases: a null source is one of its own, last in order; null texts have size 0 and are
 taken 0 times; repeated rows are taken one by one; rows of equal key are ordered by id and
-size; an empty table gives an empty result. Input columns named like the new ones are replaced.
+size; a text of any length has its number of words as size; an empty table gives an empty result. Input
+columns named like the new ones are replaced; helper columns take names that no input column has.
 """
 
 from __future__ import annotations
@@ -81,7 +82,10 @@ def mix(
     part of the target. ``size`` may give the sizes if they are known already.
     """
     others = [c for c in docs.columns if c.lower() not in NEW or c in (id_column, source)]
-    key, cell = fresh(docs.columns, "_key"), fresh(docs.columns, "_cell")
+    taken_names = [*docs.columns, *NEW]
+    key, cell, of, within_cell, start, before_row = (
+        fresh(taken_names, name) for name in ("key", "cell", "of", "within_cell", "start", "before")
+    )
     sizes = word_count(F.col(text)) if size is None else size
     measured = docs.withColumn("size", sizes)
     measured = measured.select(
@@ -93,24 +97,27 @@ def mix(
         .agg(F.sum("size").alias("cell_size"))
     )
     totals = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
-    targets = source_targets(totals, cycle, max_epochs).withColumnRenamed("source", "_of")
+    targets = source_targets(totals, cycle, max_epochs).withColumnRenamed("source", "target_of")
     before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = settle(
-        cells.withColumn("_start", F.coalesce(F.sum("cell_size").over(before), F.lit(0)))
-        .join(targets, F.col("source").eqNullSafe(F.col("_of")))
-        .select(F.col("source").alias("_source"), F.col("cell").alias("_in"), "_start", "source_size", "target")
+        cells.withColumn("cell_start", F.coalesce(F.sum("cell_size").over(before), F.lit(0)))
+        .join(targets, F.col("source").eqNullSafe(F.col("target_of")))
+        .select(
+            F.col("source").alias(of), F.col("cell").alias(within_cell), F.col("cell_start").alias(start),
+            "source_size", "target",
+        )
     )
     within = (
         Window.partitionBy(source, cell).orderBy(key, id_column, "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = measured.join(
-        starts, F.col(source).eqNullSafe(F.col("_source")) & (F.col(cell) == F.col("_in"))
-    ).withColumn("_before", F.col("_start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+        starts, F.col(source).eqNullSafe(F.col(of)) & (F.col(cell) == F.col(within_cell))
+    ).withColumn(before_row, F.col(start) + F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.floor("target")
     passes = F.coalesce(F.floor(F.try_divide(budget, F.col("source_size"))), F.lit(0))
     rest = budget - passes * F.col("source_size")
-    taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_before")))
+    taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col(before_row)))
     return placed.select(
         *others, "size", "source_size", "target", taken.cast("bigint").alias("taken")
     )

@@ -12,11 +12,12 @@ numbered by the library's distributed row number and dealt out in runs that fit.
 
 Defined cases: null ids are a key of their own; a null text has 0 bytes; a text that is itself above
 the limit is a shard by itself; repeated rows are kept; an empty table gives an empty result.
-Input columns named like the new ones are replaced.
+Input columns named like the new ones are replaced; helper columns take names that no input column has.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ from cohortloom.operators.materialize import settle
 from cohortloom.operators.numbering import global_row_number
 
 HASH_BITS = 60
+FIRST_BITS = 12  # of the cells that are summed first
 SHARD_BYTES = 1 << 20
 NEW = ("n_bytes", "shard", "depth", "shard_bytes")
 
@@ -42,11 +44,15 @@ def _prefix(h: Column | str, depth: Column | int) -> Column:
     return F.expr(f"shiftright({h}, {HASH_BITS} - ({depth}))")
 
 
-def _directory(rows: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
+def _cells(rows: DataFrame, depth: int) -> DataFrame:
+    """(cell, bytes) of every hash cell of ``depth`` bits, from rows (hash, bytes)."""
+    return settle(rows.groupBy(_prefix("hash", depth).alias("cell")).agg(F.sum("bytes").alias("bytes")))
+
+
+def _directory(cells: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
     """(cell, depth, shard_bytes): the bucket of each hash cell of ``depth`` bits, with a null
     depth for cells that are too large. Prefixes of up to ``above`` bits are known not to fit."""
-    cells = rows.groupBy(_prefix("_hash", depth).alias("cell")).agg(F.sum("_bytes").alias("bytes"))
-    levels = settle(cells).withColumn("level", F.explode(F.sequence(F.lit(above), F.lit(depth))))
+    levels = cells.withColumn("level", F.explode(F.sequence(F.lit(above), F.lit(depth))))
     parent = F.expr(f"shiftright(cell, {depth} - level)")
     levels = levels.withColumn("parent", parent)
     fits = (
@@ -70,54 +76,59 @@ def shard(
 ) -> DataFrame:
     """``docs`` with n_bytes, shard (its hash prefix in binary), depth and shard_bytes."""
     others = [c for c in docs.columns if c.lower() not in NEW or c in (id_column,)]
+    hashed, cell = (fresh([*docs.columns, *NEW], name) for name in ("hash", "cell"))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
-    rows = docs.select(
-        *(F.col(c) for c in others), size.alias("n_bytes"),
-        hash_bits(F.col(id_column)).alias("_hash"), size.alias("_bytes"),
-    )
-    total = rows.agg(F.sum("_bytes")).first()[0] or 0
-    depth = min(HASH_BITS, max(0, ceil(log2(max(1, total / limit)))) + 3)
-    above, left, parts = 0, rows, []
+    rows = docs.select(*(F.col(c) for c in others), size.alias("n_bytes"), hash_bits(F.col(id_column)).alias(hashed))
+
+    def measured(some: DataFrame) -> DataFrame:
+        return some.select(F.col(hashed).alias("hash"), F.col("n_bytes").alias("bytes"))
+
+    # The first cells tell the total, and with it how many bits are needed; often they are enough.
+    above, depth, left, parts = 0, FIRST_BITS, rows, []
+    cells = _cells(measured(rows), depth)
+    total = cells.agg(F.sum("bytes")).first()[0] or 0
+    wanted = min(HASH_BITS, max(0, ceil(log2(max(1, total / limit)))) + 3)
+    if wanted > depth:
+        depth = wanted
+        cells = _cells(measured(rows), depth)
+    bits = F.lpad(F.bin(hashed), HASH_BITS, "0")
     while True:
-        directory = _directory(left.select("_hash", "_bytes"), above, depth, limit)
-        placed = left.withColumn("_cell", _prefix("_hash", depth)).join(
-            directory.withColumnRenamed("cell", "_cell"), "_cell"
-        ).drop("_cell")
-        parts.append(placed.filter("depth is not null"))
+        directory = _directory(cells, above, depth, limit)
+        placed = left.withColumn(cell, _prefix(hashed, depth)).join(directory.withColumnRenamed("cell", cell), cell)
+        shard_name = F.substring(bits, F.lit(1), F.col("depth"))
+        parts.append(placed.filter("depth is not null").select(*others, "n_bytes", shard_name.alias("shard"), "depth", "shard_bytes"))
         if not directory.filter("depth is null").head(1):
             break
-        left = placed.filter("depth is null").drop("depth", "shard_bytes")
+        # Written, so that deeper rounds do not read all rows again.
+        left = settle(placed.filter("depth is null").select(*rows.columns))
         if depth == HASH_BITS:
-            parts.append(_deal_out(left, id_column, limit))
+            dealt = _deal_out(left, hashed, limit)
+            parts.append(dealt.select(*others, "n_bytes", F.concat_ws("-", bits, "shard").alias("shard"), "depth", "shard_bytes"))
             break
         above, depth = depth + 1, min(HASH_BITS, depth + 8)
-    bits = F.substring(F.lpad(F.bin("_hash"), HASH_BITS, "0"), F.lit(1), F.col("depth"))
-    found = None
-    for part in parts:
-        if "_run" not in part.columns:
-            part = part.withColumn("_run", F.lit(None).cast("string"))
-        part = part.select(*others, "n_bytes", F.concat_ws("-", bits, "_run").alias("shard"), "depth", "shard_bytes")
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _deal_out(rows: DataFrame, id_column: str, limit: int) -> DataFrame:
-    """Rows whose whole hash is shared by more than a shard, in runs within the limit."""
-    name = fresh(rows.columns, "_salt")
-    numbered = settle(
-        global_row_number(rows.withColumn(name, F.rand(7)), ["_hash", "_bytes", name], "_row").drop(name)
-    )
-    groups = settle(
-        numbered.groupBy("_hash").agg(F.min("_row").alias("_first"), F.max("_bytes").alias("_most"))
-    )
-    per_run = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("_most"), F.lit(1))))
+        cells = _cells(measured(left), depth)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _deal_out(rows: DataFrame, hashed: str, limit: int) -> DataFrame:
+    """Rows whose whole hash is shared by more than a shard, in runs within the limit.
+
+    The column shard is the run's number. Rows are dealt out by size and then by a hash of their
+    contents, so runs do not depend on partitions.
+    """
+    taken = [*rows.columns, *NEW]
+    contents, number, first, most = (fresh(taken, name) for name in ("contents", "number", "first", "most"))
+    ordered = rows.withColumn(contents, F.xxhash64(*rows.columns))
+    numbered = settle(global_row_number(ordered, [hashed, "n_bytes", contents], number).drop(contents))
+    groups = settle(numbered.groupBy(hashed).agg(F.min(number).alias(first), F.max("n_bytes").alias(most)))
+    per_run = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col(most), F.lit(1))))
     runs = settle(
-        numbered.join(groups, "_hash")
-        .withColumn("_run", F.floor((F.col("_row") - F.col("_first")) / per_run).cast("string"))
-        .drop("_row", "_first", "_most")
+        numbered.join(groups, hashed)
+        .withColumn("shard", F.floor((F.col(number) - F.col(first)) / per_run).cast("string"))
+        .drop(number, first, most)
     )
-    sums = settle(runs.groupBy("_hash", "_run").agg(F.sum("_bytes").alias("shard_bytes")))
-    return runs.join(sums, ["_hash", "_run"]).withColumn("depth", F.lit(HASH_BITS))
+    sums = settle(runs.groupBy(hashed, "shard").agg(F.sum("n_bytes").alias("shard_bytes")))
+    return runs.join(sums, [hashed, "shard"]).withColumn("depth", F.lit(HASH_BITS))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

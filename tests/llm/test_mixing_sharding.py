@@ -91,3 +91,46 @@ def test_written_shards_are_read_again(spark, tmp_path):
     sharding.write_shards(placed, str(tmp_path / "s"))
     again = spark.read.schema("doc_id long, text string").parquet(str(tmp_path / "s"))
     assert rows(again, "doc_id", "text") == rows(docs)
+
+
+HELPERS = ("_hash", "_bytes", "_cell", "_run", "_row", "_source", "_in", "_start", "_before", "_key", "_of", "hash", "cell", "run", "bytes",
+           "of", "within_cell", "start", "before", "key", "number", "first", "most", "contents", "level", "parent", "above", "target_of")
+
+
+def with_helper_names(frame):
+    return frame.withColumns({name: F.lit(name) for name in HELPERS})
+
+
+def test_helper_names_as_extra_columns(spark):
+    data = [(i % 40, "w " * (i % 9), f"s{i % 3}") for i in range(120)] + [(7, "hot " * 40, "s1")] * 30
+    frame = documents(spark, data)
+    plain = mixing.mix(frame), sharding.shard(frame, limit=900)
+    named = mixing.mix(with_helper_names(frame)), sharding.shard(with_helper_names(frame), limit=900)
+    for expected, found in zip(plain, named):
+        assert rows(found, *expected.columns) == rows(expected)
+        assert {tuple(r[n] for n in HELPERS) for r in found.collect()} == {HELPERS}
+    assert any("-" in r.shard for r in plain[1].collect())
+
+
+def test_runs_of_one_key_do_not_depend_on_partitions(spark):
+    data = [(1, f"text {i % 50} " * 3, f"s{i}") for i in range(300)]
+    found = [rows(sharding.shard(documents(spark, data, n), limit=500), "source", "shard", "shard_bytes") for n in (1, 7)]
+    assert found[0] == found[1] and len({r[1] for r in found[0]}) > 5
+
+
+def test_very_long_texts(spark):
+    data = [(1, "long words " * 200_000, "a"), (2, "short", "a"), (3, None, "b"), (4, "x" * 3_000_000, "b")]
+    sharded = {r.doc_id: r for r in sharding.shard(documents(spark, data)).collect()}
+    assert sharded[1].n_bytes == sharded[1].shard_bytes == 2_200_000 and sharded[4].shard_bytes == 3_000_000
+    mixed = {r.doc_id: r for r in mixing.mix(documents(spark, data)).collect()}
+    assert mixed[1].size == 400_000 and mixed[4].size == 1 and mixed[4].taken == 3
+
+
+def test_cells_are_read_twice_at_most(spark, monkeypatch):
+    seen = []
+    real = sharding._cells
+    monkeypatch.setattr(sharding, "_cells", lambda rows, depth: seen.append(depth) or real(rows, depth))
+    sharding.shard(documents(spark, [(i, "words", "s") for i in range(100)]))
+    assert seen == [sharding.FIRST_BITS]
+    sharding.shard(documents(spark, [(i, "w" * 500, "s") for i in range(400)]), limit=1)
+    assert seen[1:3] == [sharding.FIRST_BITS, 21]
