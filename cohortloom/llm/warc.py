@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are sorted by page id and cut into shards at key bounds taken from a sample chosen by
-hash, so equal input gives equal files whatever the partitioning. A task writes its shards record by
+Records are sorted by page id and cut into shards at key bounds taken from a bounded sample chosen by
+hash, so equal input gives equal files whatever the partitioning. Every shard is a task's, which writes it record by
 record, each record a gzip member without a time stamp, and begins a new file when the compressed
 size passes the limit. Digests and headers are made anew from the payload.
 
@@ -18,7 +18,8 @@ Folders are reached through pyarrow's file systems (file, hdfs, s3, gs), on exec
 
 Defined cases: a null payload is empty; null page ids sort last and are only
 responses when no other id has the payload; repeated rows (equal id and payload) are records of
-their own and all of the same type; an empty table gives a manifest without files.
+their own and all of the same type; payloads may be of any length that a row holds; an empty table gives a
+manifest without files. Only the id, URL and payload columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,12 +38,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.llm.common import modest_batches
 from cohortloom.operators.materialize import ensure_checkpoint_dir, settle
 
 FILE_BYTES = 64 << 20  # compressed; a file ends with the record that passes it
 SHARD_BYTES = 256 << 20  # payload bytes of a shard, about
 LEAST_SHARDS = 32  # so that small tables are written by more than one task
-SAMPLED_PER_SHARD = 64
+MOST_SHARDS = 16_384  # beyond which shards, each of several files, become larger
+SAMPLED_PER_SHARD = 64  # so at most a million ids reach the driver
+TASK_BYTES = 64 << 20  # compressed bytes that a reading task takes, about
 DATE = "1970-01-01T00:00:00Z"  # pages have no date of their own
 MANIFEST = "shard long, number long, temporary string, name string, records long, bytes long, sha1 string"
 
@@ -136,6 +140,7 @@ def write(
     Records below ``least_revisit_bytes`` of payload are responses whatever they equal.
     """
     spark = pages.sparkSession
+    modest_batches(spark)
     text = F.coalesce(F.col(payload).cast("string"), F.lit(""))
     size = F.octet_length(text).cast("bigint")
     rows = pages.select(
@@ -143,7 +148,7 @@ def write(
         text.alias("payload"), F.sha1(text).alias("sha1"), size.alias("size"),
     )
     total = rows.agg(F.sum("size")).first()[0] or 0
-    shards = max(least_shards, -(-total // shard_bytes))
+    shards = min(max(least_shards, -(-total // shard_bytes)), max(least_shards, MOST_SHARDS))
     bounds = spark.sparkContext.broadcast(_bounds(rows, shards))
 
     def of(ids: pd.Series) -> pd.Series:
@@ -187,7 +192,7 @@ def write(
 
     dealt = (
         records.unionAll(decisions).withColumn("shard", shard)
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", F.asc_nulls_last("id"), "sha1", "turn", "url")
     )
     manifest = dealt.mapInArrow(write_shards, MANIFEST)
@@ -245,7 +250,7 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
     if with_payload:
         schema += ", payload string"
     names = [f.split()[0] for f in schema.split(", ")]
-    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("name", "sha1")
+    manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
     def parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import gzip
@@ -274,8 +279,10 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
                             rows, held = [], 0
                 yield _frame(rows, names)
 
-    # One file is one task's work; names are dealt out by the millions at most.
-    return files.repartition("name").mapInPandas(parse_files, schema)
+    # A task reads whole files; the number of tasks is given, as AQE would merge these few bytes of names.
+    held = manifest.agg(F.count("name").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = max(1, min(held.files, max(spark.sparkContext.defaultParallelism, -(-held.bytes // TASK_BYTES))))
+    return manifest.select("name", "sha1").repartition(tasks).mapInPandas(parse_files, schema)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
