@@ -8,19 +8,19 @@ where one line is on very many pages; a page's text travels once, by page.
 
 Defined cases: a page without site belongs to a site of its own name, null; null and empty
 texts have no lines; lines are compared without the white space around them and blank ones are
-never counted or dropped; a line counts once per page; repeated rows are pages of their own.
+never counted or dropped; a line counts once per page; repeated rows are pages of their own; lines and
+texts may be of any length; an empty table gives no rows; helper columns take names that no input column has.
+Everything is a native column expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import BLANKS, fresh, modest_batches
+from cohortloom.llm.common import BLANKS, fresh
 from cohortloom.operators.materialize import settle
+from cohortloom.operators.sizing import broadcast_small
 
 RATIO = 0.1
 MIN_PAGES = 3
@@ -45,20 +45,7 @@ def _stripped(line: Column) -> Column:
 
 
 def _hashes(line: Column) -> Column:
-    return F.struct(
-        F.xxhash64(_stripped(line)).alias("h1"), F.xxhash64(F.lit(1), _stripped(line)).alias("h2")
-    )
-
-
-def _kept(lines: pd.Series, hashes: pd.Series, dropped: pd.Series) -> pd.Series:
-    out = []
-    for own, keys, gone in zip(lines, hashes, dropped):
-        if own is None or gone is None or not len(gone):
-            out.append(own)
-        else:
-            bad = set(gone.tolist())
-            out.append([line for line, key in zip(own, keys.tolist()) if key not in bad])
-    return pd.Series(out)
+    return F.struct(F.xxhash64(_stripped(line)).alias("h1"), F.xxhash64(F.lit(1), _stripped(line)).alias("h2"))
 
 
 def drop_boilerplate(
@@ -71,32 +58,36 @@ def drop_boilerplate(
     the pages of a site that have the same lines count as one page, so copies of a text do not
     make its own lines boilerplate.
     """
-    modest_batches(pages.sparkSession)
     others = [c for c in pages.columns if c.lower() != "lines"]
-    row = fresh(pages.columns, "_row")
+    row_1, row_2, body, gone = (fresh([*pages.columns, "lines"], name) for name in ("row_1", "row_2", "body", "gone"))
+    key = [row_1, row_2]
     cleaned = F.coalesce(lines, F.array().cast("array<string>"))
-    # Rows with equal contents are dealt with alike, so a hash of the contents names a row.
+    # Rows with equal contents are dealt with alike, so two hashes of the contents name a row.
+    contents = F.to_json(F.struct(site.alias("s"), cleaned.alias("l")))
     rows = pages.select(
-        F.xxhash64(site, F.to_json(F.struct(cleaned.alias("l")))).alias(row),
-        site.alias("_site"), *(F.col(c) for c in others), cleaned.alias("_lines"),
+        F.xxhash64(contents).alias(row_1), F.xxhash64(F.lit(1), contents).alias(row_2),
+        *(F.col(c) for c in others), cleaned.alias(body),
+    )
+    filled = F.array_distinct(F.transform(F.filter(cleaned, lambda x: F.length(_stripped(x)) > 0), _hashes))
+    own = pages.select(
+        F.xxhash64(contents).alias(row_1), F.xxhash64(F.lit(1), contents).alias(row_2), site.alias("site"), filled.alias("own")
     )
-    own = F.array_distinct(F.transform(F.filter("_lines", lambda x: F.length(_stripped(x)) > 0), _hashes))
-    seen = rows.select(row, "_site", F.explode(own).alias("_h")).select(row, "_site", "_h.h1", "_h.h2")
-    sites = rows.select(row, "_site")
+    # Lines are counted, and found again on their pages: they are taken apart once.
+    seen = settle(own.select(*key, "site", F.explode("own").alias("h")).select(*key, "site", "h.h1", "h.h2"))
+    counted, sites = seen, own.select(*key, "site")
     if not copies_count:
-        seen, sites = seen.distinct(), sites.distinct()
-    totals = sites.groupBy("_site").agg(F.count(F.lit(1)).alias("total")).withColumnRenamed("_site", "_of")
-    counted = seen.groupBy("_site", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+        counted, sites = counted.distinct(), sites.distinct()
+    totals = sites.groupBy(F.col("site").alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    often = counted.groupBy("site", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     bad = settle(
-        counted.join(totals, F.col("_site").eqNullSafe(F.col("_of")))
+        often.join(totals, F.col("site").eqNullSafe(F.col("of")))
         .filter(F.col("n") > ratio * F.col("total"))
-        .select(F.col("_site").alias("_of"), "h1", "h2")
+        .select("of", "h1", "h2")
     )
-    hit = seen.join(bad, ["h1", "h2"]).filter(F.col("_site").eqNullSafe(F.col("_of")))
+    hit = seen.join(broadcast_small(bad)[0], ["h1", "h2"]).filter(F.col("site").eqNullSafe(F.col("of")))
     # Written first: AQE can split the key that all copies of a page share only if neither side of the
     # join comes from an aggregation.
-    dropped = settle(hit.groupBy(row).agg(F.collect_set("h1").alias("_dropped")))
-    joined = rows.join(dropped, row, "left")
-    keys = F.transform("_lines", lambda x: F.xxhash64(_stripped(x)))
-    kept = F.pandas_udf(_kept, "array<string>")("_lines", keys, "_dropped")
-    return joined.select(*others, kept.alias("lines"))
+    dropped = settle(hit.groupBy(*key).agg(F.collect_set(F.struct("h1", "h2")).alias(gone)))
+    joined = rows.join(dropped, key, "left")
+    kept = F.filter(body, lambda x: ~F.array_contains(gone, _hashes(x)))
+    return joined.select(*others, F.when(F.col(gone).isNull(), F.col(body)).otherwise(kept).alias("lines"))

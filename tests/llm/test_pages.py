@@ -30,6 +30,20 @@ def test_lines_above_the_ratio_go(spark):
     assert none.count() == 0
 
 
+def test_helper_names_and_long_texts_of_line_dedup(spark):
+    names = ("_site", "_lines", "_dropped", "_row", "_of", "row_1", "row_2", "body", "gone", "site", "of", "h1", "h2", "total", "n")
+    texts = ["menu\nown " + str(i) for i in range(6)] + ["menu\n" + "long line " * 100_000 + "\n" + "x\n" * 50_000, None, ""]
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    lines = line_dedup.text_lines(F.col("text"))
+    for copies in (True, False):
+        expected = line_dedup.drop_boilerplate(docs, F.col("source"), lines, 0.5, copies_count=copies)
+        found = line_dedup.drop_boilerplate(docs.withColumns({n: F.lit(n) for n in names}), F.col("source"), lines, 0.5, copies_count=copies)
+        assert rows(found, *expected.columns) == rows(expected)
+        assert {tuple(r[n] for n in names) for r in found.select(*names).collect()} == {names}
+        assert {tuple(r.lines) for r in found.filter("doc_id < 6").collect()} == {(f"own {i}",) for i in range(6)}
+    assert "Python" not in final_plan(found) and "ArrowEval" not in final_plan(found)
+
+
 def test_the_key_of_many_copies_is_split(spark):
     many = [(i, "menu\n" + "copied words " * 40, "a") for i in range(3_000)]
     docs = documents(spark, many + [(i, f"menu\nown {i}", "a") for i in range(3_000, 6_000)], 12)
@@ -109,6 +123,26 @@ def test_commit_may_be_repeated_and_damage_is_found(spark, tmp_path):
         warc.read(spark, str(folder)).count()
 
 
+def test_files_are_read_by_several_tasks_and_shards_dealt_evenly(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    table = spark.read.parquet(f"{SMALL}/pages.parquet")
+    manifest = warc.write(table, folder, least_shards=16)
+    assert manifest.count() == 16 and {r.records > 0 for r in manifest.collect()} == {True}
+    found = warc.read(spark, folder)
+    assert found.rdd.getNumPartitions() == min(16, spark.sparkContext.defaultParallelism)
+    assert found.select(F.spark_partition_id()).distinct().count() >= 6
+
+
+def test_shards_are_bounded_and_long_payloads_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SHARDS", 3)
+    long = "é" * 1_500_000
+    frame = spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(40)] + [(99, "u", long)], "page_id long, url string, html string")
+    manifest = warc.write(frame, str(tmp_path / "w"), shard_bytes=100, least_shards=2, file_bytes=300)
+    assert {r.shard for r in manifest.collect()} == {0, 1, 2}
+    found = warc.read(spark, str(tmp_path / "w"), with_payload=True)
+    assert found.count() == 41 and found.filter("page_id = 99").first().payload == long
+
+
 def test_no_pages(spark, tmp_path):
     folder = str(tmp_path / "w")
     warc.write(pages(spark, 1).limit(0), folder)
