@@ -37,12 +37,15 @@ def modest_batches(spark: SparkSession) -> None:
         spark.conf.set(name, "1000")
 
 
-def word_chunks(texts: list[str | None], limit: int) -> Iterator[tuple[int, list[list[bytes]]]]:
+def word_chunks(
+    texts: list[str | None], limit: int, lower: bool = False
+) -> Iterator[tuple[int, list[list[bytes]]]]:
     """Consecutive texts as words, with the position of the first; up to ``limit`` words
-    together, or one longer text."""
+    together, or one longer text. ``lower`` makes A-Z small."""
     first, some, size = 0, [], 0
     for i, text in enumerate(texts):
-        words = text.encode().split() if text else []
+        body = text.encode() if text else b""
+        words = (body.lower() if lower else body).split()
         if some and size + len(words) > limit:
             yield first, some
             first, some, size = i, [], 0

@@ -6,7 +6,7 @@ program, fewest configurations that cover the histogram, is solved by multiplica
 each length has a weight that falls exponentially with its coverage, a knapsack by dynamic programming
 prices all rooms of a sequence, and configurations are traced through it from the pieces that there
 are, one around every length per round. The fractional solution is rounded; what rounding leaves over is
-solved as a program of its own, until nothing more fills a sequence. The few pieces that remain are packed by
+solved as a program of its own, until one places less than a hundredth of the tokens. The few pieces that remain are packed by
 best fit. The work on the driver depends on the capacity, not on the number of documents.
 
 Pieces of one length are interchangeable, so a piece only needs its rank among those of its
@@ -16,11 +16,13 @@ size is bounded by lengths and rounds, turns the rank into a sequence and an off
 
 Defined cases: null and empty texts are one piece, the end token; only documents above the
 capacity are cut, and only their last piece may be shorter; repeated rows are packed once each;
-an empty table gives an empty result. Other columns are not looked at.
+a very long text is encoded by itself and cut; an empty table gives an empty result. Other columns are
+not looked at.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -43,12 +45,18 @@ from cohortloom.operators.materialize import settle
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
-CACHED_BYTES = 12  # of a word; longer ones hardly come again
+CACHED_WORDS = 200_000  # of each generation
 MARK = "\x01"  # one token between words that are encoded together
+# Fixed value: a pre-tokenizer's pattern that keeps runs of letters, single digits and runs of other marks.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = b".,;:!?"
+# Letters and digits of ASCII, and letters of Latin-1, behind which marks are another run.
+ENDS = frozenset(i.to_bytes() for i in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+LATIN_ENDS = frozenset(chr(i).encode() for i in range(0xC0, 0x100) if chr(i).isalpha())
 CHUNK_WORDS = 300_000  # words of texts that are encoded together
 ROUNDS = 4
 EPSILON = 1e-9
+LEAST_SHARE = 0.01  # of all tokens that another program must place for one more
 PIECES_PER_SALT = 100_000
 
 
@@ -58,11 +66,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _steps(parts: dict, name: str) -> list[dict]:
+    step = parts.get(name) or {}
+    return step.get(f"{name}s") or step.get(f"{name.replace('_', '')}s") or [step]
+
+
 class TokenCache:
     """Ids of words as little-endian bytes.
 
     The tokenizer drops white space and neither normalizes nor merges across it, so a text's
     ids are those of its words in a row. Words met for the first time are encoded together.
+    The cache has two generations: when the young one is full it becomes the old one, whose words
+    come back when they are met again, and those that are not are forgotten with the next one.
     """
 
     def __init__(self, path: str):
@@ -70,12 +85,39 @@ class TokenCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        normalizers, splitters = _steps(parts, "normalizer"), _steps(parts, "pre_tokenizer")
+        #: Whether the tokenizer makes letters small, so that words may be given so.
+        self.lower = any(step.get("type") == "Lowercase" for step in normalizers)
+        #: Whether it parts marks from the letters before them, so that each is encoded by itself.
+        self.parts_marks = any(step.get("pattern") == {"Regex": LETTER_RUNS} for step in splitters)
         self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         (self.mark,) = self._each([MARK])[0]
 
     def _each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_all(self, words: set[bytes]) -> None:
+        """Encode new words; one that ends in marks from its stem and its marks."""
+        whole, ended, stems, marks = [], [], [], []
+        for word in words:
+            stem = word.rstrip(MARKS)
+            if self.parts_marks and len(stem) < len(word) and (stem[-1:] in ENDS or stem[-2:] in LATIN_ENDS):
+                ended.append(word)
+                stems.append(stem)
+                marks.append(word[len(stem) :])
+            else:
+                whole.append(word)
+        parts = set(whole).union(stems, marks).difference(self.ids)
+        known = parts.intersection(self.old)
+        self.ids.update(zip(known, map(self.old.__getitem__, known)))
+        new = list(parts.difference(known))
+        for at in range(0, len(new), 8_192):
+            self._learn(new[at : at + 8_192])
+        for word, stem, mark in zip(ended, stems, marks):
+            self.ids[word] = self.ids[stem] + self.ids[mark]
+
     def _learn(self, words: list[bytes]) -> None:
         """Encode words many at a time, with a mark of one known id between them."""
         plain = [w for w in words if MARK.encode() not in w]
@@ -94,16 +136,14 @@ class TokenCache:
 
     def encode(self, texts: list[list[bytes]]) -> Iterator[bytes]:
         """The ids of each text, given as its words."""
-        new = list(set(chain.from_iterable(texts)).difference(self.ids))
-        for at in range(0, len(new), 8_192):
-            self._learn(new[at : at + 8_192])
+        if len(self.ids) > CACHED_WORDS:
+            self.old, self.ids = self.ids, {}
+        missing = set(chain.from_iterable(texts)).difference(self.ids)
+        known = missing.intersection(self.old)
+        self.ids.update(zip(known, map(self.old.__getitem__, known)))
+        self._learn_all(missing.difference(known))
         for words in texts:
             yield b"".join(map(self.ids.__getitem__, words))
-        for word in new:
-            if len(word) > CACHED_BYTES:
-                del self.ids[word]
-        if len(self.ids) > CACHED_WORDS:
-            self.ids.clear()
 
 
 @lru_cache(maxsize=1)
@@ -133,7 +173,7 @@ def pieces(
         size = 4 * capacity
         for batch in batches:
             row, piece, length, crc, ids = [], [], [], [], []
-            texts = word_chunks(batch.column(1).to_pylist(), CHUNK_WORDS)
+            texts = word_chunks(batch.column(1).to_pylist(), CHUNK_WORDS, cache.lower)
             encoded = chain.from_iterable(cache.encode(words) for _, words in texts)
             for i, data in enumerate(encoded):
                 data += end
@@ -216,7 +256,8 @@ def _program(histogram: dict[int, int], capacity: int, rounds: int) -> Iterator[
     """Configurations of the rounded linear program, with how many sequences each fills.
 
     Amounts are rounded down, then up by their fractions, largest first, as far as pieces are left.
-    What rounding leaves over is a histogram again, and a program of its own, until one gives no sequence.
+    What rounding leaves over is a histogram again, and a program of its own, until one places less
+    than ``LEAST_SHARE`` of all tokens.
     """
     left = dict(histogram)
     while any(left.values()):
@@ -235,7 +276,7 @@ def _program(histogram: dict[int, int], capacity: int, rounds: int) -> Iterator[
                 for length, n in pattern:
                     left[length] -= n * times
                 yield pattern, times
-        if not taken:
+        if taken * capacity < LEAST_SHARE * sum(n * c for n, c in histogram.items()):
             return
 
 

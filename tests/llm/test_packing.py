@@ -1,5 +1,6 @@
+import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -31,6 +32,22 @@ def test_plan_is_near_the_bound():
     assert sum(times for _, times in chosen) <= 1.002 * sizes.sum() / 4096 + 1
 
 
+def test_the_program_places_nearly_all_tokens(spark):
+    cache = p.TokenCache(p.default_tokenizer())
+    texts = [(r.text or "").encode().lower().split() for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    histogram = Counter()
+    for at in range(0, len(texts), 1_000):
+        for data in cache.encode(texts[at : at + 1_000]):
+            whole, rest = divmod(len(data) // 4 + 1, 4096)
+            histogram.update({4096: whole, rest: 1} if rest else {4096: whole})
+    histogram = {n: c for n, c in histogram.items() if c}
+    total = sum(n * c for n, c in histogram.items())
+    placed = list(p._program(histogram, 4096, p.ROUNDS))
+    assert all(sum(length * n for length, n in pattern) == 4096 for pattern, _ in placed)
+    assert sum(times for _, times in placed) * 4096 >= 0.95 * total
+    assert sum(times for _, times in p.plan(histogram)) <= 1.002 * total / 4096 + 1
+
+
 def expected_ids(texts):
     tokenizer = Tokenizer.from_file(p.default_tokenizer())
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
@@ -83,3 +100,30 @@ def test_cache_limit_does_not_change_ids(monkeypatch, limit):
     for _ in range(2):
         found = list(cache.encode([t.encode().split() for t in texts]))
         assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found] == expected_ids(texts)
+
+
+def odd_words(seed):
+    rng = random.Random(seed)
+    parts = ("The", "CAT", "é", "É", "ç", "ÿ", "×", "÷", "ß", "İ", "I\u0307", "e\u0301", "'s", "'LL", "n't", "1", "23", ".", ",", "?!", "...", ";", ":", "\u2026", "漢", "Σ", "ς", "\u00a0", "\u0085", "😀", "-", "_", "\x01", "Ω.", "\xb5")
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(400)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_words_and_marks_apart_give_the_same_ids(monkeypatch, seed):
+    monkeypatch.setattr(p, "CACHED_WORDS", (10, 1_000)[seed % 2])
+    cache = p.TokenCache(p.default_tokenizer())
+    assert cache.lower and cache.parts_marks
+    words = odd_words(seed)
+    texts = [" ".join(words[i : i + 7]) for i in range(0, len(words), 7)]
+    for some in (texts, texts[::-1]):
+        split = [t.encode().lower().split() for t in some]
+        found = [x for at in range(0, len(split), 5) for x in cache.encode(split[at : at + 5])]
+        assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found] == expected_ids(some)
+
+
+def test_tokenizers_that_keep_capitals_are_given_them():
+    cache = p.TokenCache(p.default_tokenizer())
+    steps = {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Digits"}]}}
+    assert p._steps(steps, "normalizer") == [{}] and p._steps(steps, "pre_tokenizer") == [{"type": "Digits"}]
+    assert p._steps({"normalizer": {"type": "Lowercase"}}, "normalizer") == [{"type": "Lowercase"}]
+    assert cache.mark is not None
