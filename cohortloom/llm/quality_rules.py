@@ -8,7 +8,9 @@ document is kept.
 
 Defined cases: a null or blank text has no words and fails the base rule; null labels, or
 labels without a document, are not used; without usable labels the list is empty, so only
-the base rule decides; repeated rows each get their own verdict.
+the base rule decides; repeated rows each get their own verdict; an empty table gives no rows; a text
+of any length is assessed whole, by itself; input columns named like the new ones are replaced, and
+others may have any name.
 """
 
 from __future__ import annotations

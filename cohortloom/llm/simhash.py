@@ -13,7 +13,8 @@ count once. The groups of all cells are joined by distributed connected componen
 
 Defined cases: null, empty or blank texts have fingerprint 0 and are linked like any other;
 documents with a null id take part and get their group's smallest non-null id, null if there
-is none; repeated rows give repeated result rows. Other columns are not looked at.
+is none; repeated rows give repeated result rows; a long text is hashed whole, and its bits are
+counted a bounded number of shingles at a time; an empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations

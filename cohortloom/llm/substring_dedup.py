@@ -20,7 +20,8 @@ Keys are two independent 64-bit hashes of words and place, 128 bits in all.
 
 Defined cases: null, empty and short texts have no windows, so nothing is removed; documents
 with a null id neither remove nor lose anything; equal ids never remove each other's
-words; repeated rows give repeated result rows. Only the id and text columns are read.
+words; repeated rows give repeated result rows; an empty table gives no rows; a very long text is
+looked at by itself, as a whole. Only the id and text columns are read.
 """
 
 from __future__ import annotations

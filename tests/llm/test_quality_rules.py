@@ -72,3 +72,14 @@ def test_repeated_rows_get_a_verdict_each(spark):
     text = " ".join(map(str, range(30)))
     assert q.keep_good(documents(spark, [(1, text)] * 3), []).count() == 3
     assert SMALL
+
+
+def test_very_long_texts_and_clashing_names(spark):
+    long = " ".join(map(str, range(300_000)))
+    repeated = "one two three four five six seven\n" * 20_000
+    docs = documents(spark, [(1, long), (2, repeated), (3, long + "\n" + "#" * 500_000)]).withColumns(
+        {c: F.lit("own") for c in ("n_words", "base_failed", "rule", "_stats", "stats")}
+    )
+    found = {r.doc_id: r for r in q.assess(docs, []).collect()}
+    assert found[1].n_words == 300_000 and found[1].kept and found[3].n_symbols == 500_000
+    assert found[2].n_dup_lines == 19_999 and found[2].n_repeat_words == 140_000 and found[2].base_failed
