@@ -5,8 +5,8 @@ lines with terms such as a comment block, and the whole file, as a licence file
 weighted by how few lines of the whole corpus have them; only the templates' terms are counted, a number
 that does not grow, and any other term has the weight of a term that no line has.
 
-A text can only reach the threshold with a template if it has one of the template's heaviest terms
-(those without which the rest of the template is too light), so other files, and then other
+A text can only reach the threshold with a template if it has one of the template's rarest terms
+(so many that the rest of the template is too light without them), so other files, and then other
 texts of a file, are passed over without loss. What is left is reduced to distinct texts. Their
 terms, with counts, are joined with the templates' postings, one row per term and template, and summed
 by text and template; a text and a template that share no term never meet. A file's licence is that of
@@ -117,11 +117,11 @@ def _weights(plain: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float],
     return {t: log((1 + total) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}, log(1 + total) + 1
 
 
-def _needed(vector: dict[str, float], threshold: float) -> list[str]:
-    """The heaviest terms, so many that a line with none of them stays below the threshold."""
+def _needed(vector: dict[str, float], idf: dict[str, float], threshold: float) -> list[str]:
+    """The rarest terms, so many that a text with none of them stays below the threshold."""
     rest = sum(w * w for w in vector.values())
     bound, found = (threshold * threshold - 1e-9) * rest, []
-    for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+    for term, weight in sorted(vector.items(), key=lambda x: (-idf[x[0]], x[0])):
         if rest < bound:
             break
         found.append(term)
@@ -174,19 +174,20 @@ def own_licences(files: DataFrame, lines: Column, templates: dict[str, list[str]
     Input columns of these two names are replaced.
     """
     others = [c for c in files.columns if c.lower() not in ("own_licence", "own_score")]
-    plain = files.select(_plain(F.coalesce(lines, F.array().cast("array<string>"))).alias("plain"))
+    whole = F.coalesce(lines, F.array().cast("array<string>"))
+    plain = files.select(_plain(whole).alias("plain"), *_hashes(whole, ("f1", "f2")))
     counted = _vocabulary(templates)
     idf, other = _weights(plain, sorted({t for _, c in counted for t in c}))
     vectors = [(name, {t: n * idf[t] for t, n in c.items()}) for name, c in counted]
-    needed = F.array(*map(F.lit, sorted({t for _, v in vectors for t in _needed(v, threshold)})))
+    needed = F.array(*map(F.lit, sorted({t for _, v in vectors for t in _needed(v, idf, threshold)})))
 
     def heavy(text: Column) -> Column:
-        return F.arrays_overlap(F.split(text, " "), needed)
+        return F.arrays_overlap(F.split(text, r"[ \n]+"), needed)
 
-    # Files of equal contents are dealt with alike, so two hashes of the contents name them.
+    # Files of equal lines are dealt with alike, so two hashes of the lines name them.
     file_key = ["f1", "f2"]
-    some = plain.filter(heavy(_joined(F.col("plain"))))
-    texts = some.select(*_hashes(F.col("plain"), ("f1", "f2")), F.explode(_texts(F.col("plain"))).alias("text"))
+    some = plain.filter(heavy(F.col("plain")))
+    texts = some.select(*file_key, F.explode(_texts(F.col("plain"))).alias("text"))
     texts = settle(texts.filter(heavy(F.col("text"))))
     best = settle(_best(texts.select("text").distinct(), vectors, idf, other, threshold))
     # Both sides are written, so AQE can split the key of a notice that very many files have.
@@ -195,7 +196,7 @@ def own_licences(files: DataFrame, lines: Column, templates: dict[str, list[str]
     keys = [fresh(files.columns, name) for name in file_key]
     chosen = fresh(files.columns, "chosen")
     found = found.withColumnsRenamed(dict(zip([*file_key, "best"], [*keys, chosen])))
-    keyed = files.select(*others, *_hashes(_plain(F.coalesce(lines, F.array().cast("array<string>"))), tuple(keys)))
+    keyed = files.select(*others, *_hashes(whole, tuple(keys)))
     joined = keyed.join(broadcast_small(found)[0], keys, "left")
     return joined.select(
         *others, F.col(f"{chosen}.name").alias("own_licence"), F.col(f"{chosen}.score").alias("own_score")
@@ -220,7 +221,8 @@ def inherit(files: DataFrame, path: Column, licence_file: str = LICENCE_FILE) ->
     others = [c for c in files.columns if c.lower() not in ("licence", "inherited_from")]
     folder, name = fresh(files.columns, "folder"), fresh(files.columns, "name")
     placed = files.select(*others, directory_of(path).alias(folder), F.regexp_extract(path, r"([^/]*)$", 1).alias(name))
-    held = placed.select(F.col(folder).alias("holder"), F.col(name).rlike(licence_file).alias("named"), "own_licence")
+    # What directories are told from is written once, so that the files are not scanned for each use of it.
+    held = settle(placed.select(F.col(folder).alias("holder"), F.col(name).rlike(licence_file).alias("named"), "own_licence"))
     votes = settle(
         held.filter("own_licence is not null and holder is not null")
         .groupBy("holder", "own_licence")
@@ -240,7 +242,7 @@ def inherit(files: DataFrame, path: Column, licence_file: str = LICENCE_FILE) ->
     taken = [*files.columns, folder, name]
     inside, source = fresh(taken, "inside"), fresh(taken, "nearest")
     nearest = settle(
-        placed.select(F.col(folder).alias("inside")).filter("inside is not null").distinct()
+        held.select(F.col("holder").alias("inside")).filter("inside is not null").distinct()
         .withColumn("holder", F.explode(ancestors))
         .join(licensed, "holder")
         .groupBy("inside")
