@@ -484,11 +484,11 @@ def _copies(texts: DataFrame) -> DataFrame:
     hashed = texts.select(
         "id", "mark", F.octet_length("body").alias("size"), F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2")
     )
-    hashed = settle(hashed.distinct())
+    hashed = settle(hashed.distinct(), free_shuffles=True)
     firsts = hashed.groupBy(*key).agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     # Both sides are written, so that AQE can split the key of very many copies.
-    later = hashed.join(settle(firsts.drop("last")), key).filter("first < id")
-    return settle(later.groupBy("id").agg(F.collect_set("mark").alias("copied")))
+    later = hashed.join(settle(firsts.drop("last"), free_shuffles=True), key).filter("first < id")
+    return settle(later.groupBy("id").agg(F.collect_set("mark").alias("copied")), free_shuffles=True)
 
 
 def remove_repeats(
@@ -513,14 +513,15 @@ def remove_repeats(
     route = F.when(F.col("state") == KNOWN, F.xxhash64("id")).otherwise(F.col("anchor"))
     sorted_anchors = found.repartition(route).sortWithinPartitions("anchor")
     repeated = sorted_anchors.mapInArrow(_repeated, "id long, anchor long")
-    lists = settle(repeated.groupBy("id").agg(F.collect_set("anchor").alias("anchors")))
+    lists = settle(repeated.groupBy("id").agg(F.collect_set("anchor").alias("anchors")), free_shuffles=True)
     copies = _copies(texts.filter("id is not null"))
-    # Outer joins, so that both read the same shuffle of the texts.
-    wanted = texts.join(lists.join(copies, "id", "full"), "id", "left")
+    # Outer joins, so that all read the same shuffle of the texts.
+    wanted = texts.join(lists, "id", "left").join(copies, "id", "left")
     wanted = wanted.select("id", "mark", "body", "anchors", "copied")
     contexts = wanted.mapInArrow(_contexts(threshold), _CONTEXT)
     crowded = settle(
-        lists.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor")
+        lists.select(F.explode("anchors").alias("anchor")).groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"),
+        free_shuffles=True,
     )
     if crowded.head(1):
         many = broadcast_small(crowded.withColumn("crowded", F.lit(True)))[0]

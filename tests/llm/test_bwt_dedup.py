@@ -1,7 +1,9 @@
 """Suffix dedup against a plain version over all windows."""
 
+import glob
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +11,7 @@ import pyarrow.compute as pc
 import pytest
 
 from cohortloom.llm import bwt_dedup
+from cohortloom.operators.materialize import FREE_SHUFFLES
 
 from .helpers import documents, rows
 
@@ -157,3 +160,26 @@ def test_expansion_finds_common_prefixes(seed):
 def test_threshold_bounds(spark):
     with pytest.raises(ValueError):
         bwt_dedup.remove_repeats(documents(spark, []), threshold=24)
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = list(env.blockManager().diskBlockManager().localDirsString())
+    return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*")}
+
+
+def test_shuffles_of_settled_steps_do_not_wait_for_garbage_collection(spark):
+    rng = random.Random(5)
+    passage = prose(rng, 90)
+    given = documents(spark, [(i, prose(rng, 30) + passage, "s") for i in range(40)])
+    given.count()
+    before = shuffle_files(spark)
+    found = bwt_dedup.remove_repeats(given)
+    for _ in range(50):  # files go in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+    assert found.filter("n_removed >= 90").count() == 39
