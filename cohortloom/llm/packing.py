@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_right
@@ -49,7 +50,11 @@ CACHED_WORDS = 200_000  # of each generation
 MARK = "\x01"  # one token between words that are encoded together
 # Fixed value: a pre-tokenizer's pattern that keeps runs of letters, single digits and runs of other marks.
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-MARKS = b".,;:!?"
+# ASCII marks at the end of words; not those that contractions begin or special tokens end with.
+MARKS = b".,;:!?$%&#*()[]{}\"-_+=/~^@`\\"
+# Words that normalizers leave as they are and the pattern keeps whole: small letters of ASCII and Latin-1.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+PLAIN_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 # Letters and digits of ASCII, and letters of Latin-1, behind which marks are another run.
 ENDS = frozenset(i.to_bytes() for i in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 LATIN_ENDS = frozenset(chr(i).encode() for i in range(0xC0, 0x100) if chr(i).isalpha())
@@ -75,7 +80,8 @@ class TokenCache:
     """Ids of words as little-endian bytes.
 
     The tokenizer drops white space and neither normalizes nor merges across it, so a text's
-    ids are those of its words in a row. Words met for the first time are encoded together.
+    ids are those of its words in a row. Words met for the first time are encoded together, plain ones
+    without the tokenizer's normalizer and pattern, which would leave them as they are.
     The cache has two generations: when the young one is full it becomes the old one, whose words
     come back when they are met again, and those that are not are forgotten with the next one.
     """
@@ -91,15 +97,43 @@ class TokenCache:
         self.lower = any(step.get("type") == "Lowercase" for step in normalizers)
         #: Whether it parts marks from the letters before them, so that each is encoded by itself.
         self.parts_marks = any(step.get("pattern") == {"Regex": LETTER_RUNS} for step in splitters)
+        self.plain = self._plain(path, parts, normalizers, splitters)
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         (self.mark,) = self._each([MARK])[0]
 
+    def _plain(self, path: str, parts: dict, normalizers: list[dict], splitters: list[dict]):
+        """The tokenizer without its normalizer and pattern, for words that need neither, or None.
+
+        A token of the model's suffix ends a word, so that no mark is needed between words either.
+        """
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+        model, vocabulary = parts["model"], self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix, letters = model.get("end_of_word_suffix"), ByteLevel.alphabet()
+        steps = {step.get("type") for step in normalizers}
+        spaces = [step for step in normalizers if step.get("type") == "Replace"]
+        if not (
+            model.get("type") == "BPE" and suffix and not model.get("dropout") and self.lower and self.parts_marks
+            and steps <= PLAIN_NORMALIZERS and all(step["pattern"] == {"Regex": r"\s+"} for step in spaces)
+            and [step.get("type") for step in splitters] == ["Split", "ByteLevel"]
+            and not splitters[1].get("use_regex") and not splitters[1].get("add_prefix_space")
+            and all(letter in vocabulary and letter + suffix in vocabulary for letter in letters)
+        ):
+            return None
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = None
+        plain.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+        return plain
+
     def _each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_all(self, words: set[bytes]) -> None:
-        """Encode new words; one that ends in marks from its stem and its marks."""
+    def _learn_all(self, words: set[bytes]) -> list[bytes]:
+        """Encode new words; those that end in marks, which are returned, from their stems and marks."""
         whole, ended, stems, marks = [], [], [], []
         for word in words:
             stem = word.rstrip(MARKS)
@@ -113,10 +147,26 @@ class TokenCache:
         known = parts.intersection(self.old)
         self.ids.update(zip(known, map(self.old.__getitem__, known)))
         new = list(parts.difference(known))
+        plain = list(filter(PLAIN, new)) if self.plain else []
+        if plain:
+            new = list(set(new).difference(plain))
+        for at in range(0, len(plain), 8_192):
+            self._learn_plain(plain[at : at + 8_192])
         for at in range(0, len(new), 8_192):
             self._learn(new[at : at + 8_192])
         for word, stem, mark in zip(ended, stems, marks):
             self.ids[word] = self.ids[stem] + self.ids[mark]
+        return ended
+
+    def _learn_plain(self, words: list[bytes]) -> None:
+        """Encode plain words many at a time."""
+        joint = [b" ".join(words[i : i + 64]).decode() for i in range(0, len(words), 64)]
+        found = [e.ids for e in self.plain.encode_batch_fast(joint, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), "<u4", sum(map(len, found)))
+        stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        data = ids.tobytes()
+        for word, start, stop in zip(words, [0, *stops], stops):
+            self.ids[word] = data[start:stop]
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words many at a time, with a mark of one known id between them."""
@@ -141,9 +191,11 @@ class TokenCache:
         missing = set(chain.from_iterable(texts)).difference(self.ids)
         known = missing.intersection(self.old)
         self.ids.update(zip(known, map(self.old.__getitem__, known)))
-        self._learn_all(missing.difference(known))
+        ended = self._learn_all(missing.difference(known))
         for words in texts:
             yield b"".join(map(self.ids.__getitem__, words))
+        for word in ended:  # these are soon put together again, and would take half of the cache
+            del self.ids[word]
 
 
 @lru_cache(maxsize=1)
