@@ -31,17 +31,19 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, groupby
+from itertools import chain, compress, groupby
+from operator import not_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from cohortloom.llm.common import modest_batches, word_chunks
+from cohortloom.llm.common import modest_batches
 from cohortloom.operators.materialize import settle
 
 CAPACITY = 4096
@@ -50,15 +52,20 @@ CACHED_WORDS = 200_000  # of each generation
 MARK = "\x01"  # one token between words that are encoded together
 # Fixed value: a pre-tokenizer's pattern that keeps runs of letters, single digits and runs of other marks.
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# ASCII marks at the end of words; not those that contractions begin or special tokens end with.
+# ASCII marks that begin another run behind a letter; not those of contractions or special tokens.
 MARKS = b".,;:!?$%&#*()[]{}\"-_+=/~^@`\\"
 # Words that normalizers leave as they are and the pattern keeps whole: small letters of ASCII and Latin-1.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
 PLAIN_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
-# Letters and digits of ASCII, and letters of Latin-1, behind which marks are another run.
-ENDS = frozenset(i.to_bytes() for i in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
-LATIN_ENDS = frozenset(chr(i).encode() for i in range(0xC0, 0x100) if chr(i).isalpha())
-CHUNK_WORDS = 300_000  # words of texts that are encoded together
+# Bytes by what they are to the cuts: white space, letters and digits of ASCII, marks, and the rest.
+SPACE, END, MARKED = 1, 2, 3
+KINDS = bytes(
+    SPACE if i in b" \t\n\v\f\r" else END if i < 128 and chr(i).isalnum() else MARKED if i in MARKS else 0
+    for i in range(256)
+)
+LATIN = 0xC3  # leads the letters of Latin-1, and two signs
+LATIN_SIGNS = b"\x97\xb7"
+CHUNK_BYTES = 1 << 23  # of texts that are encoded together, besides one longer text
 ROUNDS = 4
 EPSILON = 1e-9
 LEAST_SHARE = 0.01  # of all tokens that another program must place for one more
@@ -76,12 +83,56 @@ def _steps(parts: dict, name: str) -> list[dict]:
     return step.get(f"{name}s") or step.get(f"{name.replace('_', '')}s") or [step]
 
 
+def _joined(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts, null ones empty, of consecutive batches up to about ``limit`` bytes."""
+    some, size = [], 0
+    for batch in batches:
+        texts = batch.column(1).cast(pa.large_binary()).fill_null(b"")
+        if some and size + texts.nbytes > limit:
+            yield tuple(map(pa.concat_arrays, zip(*some)))
+            some, size = [], 0
+        some.append((batch.column(0), texts))
+        size += texts.nbytes
+    if some:
+        yield tuple(map(pa.concat_arrays, zip(*some)))
+
+
+def _chunks(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """Consecutive texts, up to ``limit`` bytes together, or one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield texts.slice(first, stop - first)
+        first = stop
+
+
+def _cuts(data: bytes, starts: np.ndarray, marks: bool) -> np.ndarray:
+    """Where the parts of adjoining texts begin: a word with the white space before it and, with
+    ``marks``, what begins with a mark behind a letter or digit."""
+    kinds = np.frombuffer(data.translate(KINDS), np.uint8)
+    cut = np.zeros(len(data) + 1, bool)
+    space = kinds == SPACE
+    np.greater(space[1:], space[:-1], out=cut[1:-1])
+    if marks:
+        ends = kinds == END
+        raw = np.frombuffer(data, np.uint8)
+        latin = np.flatnonzero(raw[:-1] == LATIN) + 1
+        ends[latin] = ~np.isin(raw[latin], np.frombuffer(LATIN_SIGNS, np.uint8))
+        cut[1:-1] |= (kinds[1:] == MARKED) & ends[:-1]
+    cut[starts] = True
+    return np.flatnonzero(cut[:-1])
+
+
 class TokenCache:
     """Ids of words as little-endian bytes.
 
     The tokenizer drops white space and neither normalizes nor merges across it, so a text's
-    ids are those of its words in a row. Words met for the first time are encoded together, plain ones
-    without the tokenizer's normalizer and pattern, which would leave them as they are.
+    ids are those of its words in a row; so it is with marks behind letters, if its pattern parts them.
+    The texts of a chunk lie side by side in Arrow: its distinct parts are found by a dictionary, looked
+    up once, and put in a row by one gather. Words met for the first time are encoded together, plain
+    ones without the tokenizer's normalizer and pattern, which would leave them as they are.
     The cache has two generations: when the young one is full it becomes the old one, whose words
     come back when they are met again, and those that are not are forgotten with the next one.
     """
@@ -95,8 +146,11 @@ class TokenCache:
         normalizers, splitters = _steps(parts, "normalizer"), _steps(parts, "pre_tokenizer")
         #: Whether the tokenizer makes letters small, so that words may be given so.
         self.lower = any(step.get("type") == "Lowercase" for step in normalizers)
+        self.special = [token["content"].encode() for token in parts.get("added_tokens") or ()]
         #: Whether it parts marks from the letters before them, so that each is encoded by itself.
-        self.parts_marks = any(step.get("pattern") == {"Regex": LETTER_RUNS} for step in splitters)
+        self.parts_marks = any(step.get("pattern") == {"Regex": LETTER_RUNS} for step in splitters) and all(
+            len(_cuts(token, np.array([0]), True)) == 1 for token in self.special
+        )
         self.plain = self._plain(path, parts, normalizers, splitters)
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -108,7 +162,7 @@ class TokenCache:
         A token of the model's suffix ends a word, so that no mark is needed between words either.
         """
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit, Sequence
 
         model, vocabulary = parts["model"], self.tokenizer.get_vocab(with_added_tokens=False)
         suffix, letters = model.get("end_of_word_suffix"), ByteLevel.alphabet()
@@ -126,37 +180,21 @@ class TokenCache:
         self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         plain = Tokenizer.from_file(path)
         plain.normalizer = None
-        plain.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+        plain.pre_tokenizer = Sequence([CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)])
         return plain
 
     def _each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_all(self, words: set[bytes]) -> list[bytes]:
-        """Encode new words; those that end in marks, which are returned, from their stems and marks."""
-        whole, ended, stems, marks = [], [], [], []
-        for word in words:
-            stem = word.rstrip(MARKS)
-            if self.parts_marks and len(stem) < len(word) and (stem[-1:] in ENDS or stem[-2:] in LATIN_ENDS):
-                ended.append(word)
-                stems.append(stem)
-                marks.append(word[len(stem) :])
-            else:
-                whole.append(word)
-        parts = set(whole).union(stems, marks).difference(self.ids)
-        known = parts.intersection(self.old)
-        self.ids.update(zip(known, map(self.old.__getitem__, known)))
-        new = list(parts.difference(known))
-        plain = list(filter(PLAIN, new)) if self.plain else []
-        if plain:
-            new = list(set(new).difference(plain))
+    def _learn_all(self, words: set[bytes]) -> None:
+        """Encode new words, plain ones apart."""
+        new = list(words)
+        kinds = list(map(PLAIN, new)) if self.plain else [None] * len(new)
+        plain, new = list(compress(new, kinds)), list(compress(new, map(not_, kinds)))
         for at in range(0, len(plain), 8_192):
             self._learn_plain(plain[at : at + 8_192])
         for at in range(0, len(new), 8_192):
             self._learn(new[at : at + 8_192])
-        for word, stem, mark in zip(ended, stems, marks):
-            self.ids[word] = self.ids[stem] + self.ids[mark]
-        return ended
 
     def _learn_plain(self, words: list[bytes]) -> None:
         """Encode plain words many at a time."""
@@ -184,18 +222,47 @@ class TokenCache:
         for word, found in zip(odd, self._each([w.decode() for w in odd])):
             self.ids[word] = array("I", found).tobytes()
 
-    def encode(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        """The ids of each text, given as its words."""
+    def _find(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word; those of new ones are found."""
         if len(self.ids) > CACHED_WORDS:
             self.old, self.ids = self.ids, {}
-        missing = set(chain.from_iterable(texts)).difference(self.ids)
-        known = missing.intersection(self.old)
+        found = list(map(self.ids.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = {words[i] for i in missing}
+        known = new.intersection(self.old)
         self.ids.update(zip(known, map(self.old.__getitem__, known)))
-        ended = self._learn_all(missing.difference(known))
-        for words in texts:
-            yield b"".join(map(self.ids.__getitem__, words))
-        for word in ended:  # these are soon put together again, and would take half of the cache
-            del self.ids[word]
+        self._learn_all(new.difference(known))
+        for i in missing:
+            found[i] = self.ids[words[i]]
+        return found
+
+    def _encode_chunk(self, texts: pa.Array) -> Iterator[bytes]:
+        stops = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        if not stops[-1]:
+            yield from (b"" for _ in texts)
+            return
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :]
+        data = texts.buffers()[2][int(offsets[0]) : int(offsets[0] + stops[-1])].to_pybytes()
+        if self.lower:
+            data = data.lower()
+        bounds = np.append(0, stops)
+        cuts = np.append(_cuts(data, bounds, self.parts_marks), len(data))
+        parts = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        words = self._find([part.strip() for part in parts.dictionary.to_numpy(zero_copy_only=False)])
+        found = pa.array(words, pa.large_binary()).take(parts.indices)
+        ends = np.frombuffer(found.buffers()[1], np.int64)[np.searchsorted(cuts, bounds)].tolist()
+        for start, stop in zip(ends, ends[1:]):
+            yield found.buffers()[2][start:stop].to_pybytes()
+
+    def encode_texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, given as large binary without nulls."""
+        for chunk in _chunks(texts, CHUNK_BYTES):
+            yield from self._encode_chunk(chunk)
+
+    def encode(self, texts: list[list[bytes]]) -> Iterator[bytes]:
+        """The ids of each text, given as its words."""
+        return self.encode_texts(pa.array(map(b" ".join, texts), pa.large_binary()))
 
 
 @lru_cache(maxsize=1)
@@ -223,11 +290,9 @@ def pieces(
     def cut(batches):
         cache = _token_cache(path)
         size = 4 * capacity
-        for batch in batches:
+        for doc_ids, texts in _joined(batches, CHUNK_BYTES):
             row, piece, length, crc, ids = [], [], [], [], []
-            texts = word_chunks(batch.column(1).to_pylist(), CHUNK_WORDS, cache.lower)
-            encoded = chain.from_iterable(cache.encode(words) for _, words in texts)
-            for i, data in enumerate(encoded):
+            for i, data in enumerate(cache.encode_texts(texts)):
                 data += end
                 for k in range(0, len(data), size):
                     part = data[k : k + size]
@@ -239,7 +304,7 @@ def pieces(
                         ids.append(part)
             numbers = np.array(piece, np.int64)
             columns = [
-                batch.column(0).take(pa.array(row, pa.int64())), pa.array(numbers.astype(np.int32)),
+                doc_ids.take(pa.array(row, pa.int64())), pa.array(numbers.astype(np.int32)),
                 pa.array(numbers * capacity), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
             ]
             if with_ids:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -160,3 +161,54 @@ def test_tokenizers_with_other_steps_have_no_plain_words():
     assert not cache._plain(path, parts, [*normalizers, {"type": "Replace", "pattern": {"String": "a"}}], splitters)
     assert not cache._plain(path, parts, normalizers, splitters[:1])
     assert not cache._plain(path, parts | {"model": parts["model"] | {"end_of_word_suffix": None}}, normalizers, splitters)
+
+
+def test_marks_inside_words_are_parted_from_the_letters_before(monkeypatch):
+    cache = p.TokenCache(p.default_tokenizer())
+    given, each = [], cache._each
+    monkeypatch.setattr(cache, "_each", lambda texts: given.extend(texts) or each(texts))
+    words = "zuzuz.,zozoz.. größé--! a1.5 3.,4 x_≠y é×.ü÷.a ç..'s z.'the f.<|endoftext|>.g <|endoftext|>.h ⃃.a"
+    (found,) = cache.encode([words.encode().split()])
+    assert np.frombuffer(found, "<u4").tolist() + [1] == expected_ids([words])[0]
+    pieces = " ".join(given).split()
+    assert {".,zozoz", "..", "--!", "_≠y", "é×.ü÷.a", "..'s", ".'the", ".<|endoftext|>.g"} <= set(pieces)
+    assert not {"zuzuz", "größé", "x", "ç"} & set(pieces)
+
+
+def test_a_word_is_looked_up_once_for_many_texts(monkeypatch):
+    cache = p.TokenCache(p.default_tokenizer())
+    looked_up, find = [], cache._find
+    monkeypatch.setattr(cache, "_find", lambda words: looked_up.extend(words) or find(words))
+    texts = ["the cat, the hat", " the cat, a hat ", None, "", "the", " \n "] * 300
+    batches = [
+        pa.record_batch([pa.array(range(len(some))), pa.array(some, pa.string())], names=["id", "text"])
+        for some in (texts[i : i + 100] for i in range(0, len(texts), 100))
+    ]
+    (joined,) = p._joined(iter(batches), p.CHUNK_BYTES)
+    found = list(cache.encode_texts(joined[1]))
+    assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found[:6]] == expected_ids(texts[:6])
+    assert found == found[:6] * 300
+    assert len(looked_up) < 20
+
+
+@pytest.mark.parametrize("limit", [1, 100, 1 << 23])
+def test_texts_side_by_side_do_not_touch(monkeypatch, limit):
+    monkeypatch.setattr(p, "CHUNK_BYTES", limit)
+    cache = p.TokenCache(p.default_tokenizer())
+    texts = ["a", ".b", "c ", " d", "", "é", "́", "e", "́.", None, "<|endof", "text|>", "x\xa0y", "\x85z", "\x1cq", " ", "'", "s"] * 3
+    texts += [" ".join(odd_words(7))]
+    batches = [pa.record_batch([pa.array(range(60))[: len(some)], pa.array([*some, "k"], pa.string())[:-1]], names=["id", "text"]) for some in (texts[:7], texts[7:])]
+    sliced = [pa.record_batch([b.column(0), b.column(1)], names=["id", "text"]).slice(1) for b in batches]
+    ids = [i for some, _ in p._joined(iter(sliced), limit) for i in some.to_pylist()]
+    assert ids == [*range(1, 7), *range(1, len(texts) - 7)]
+    found = [x for _, some in p._joined(iter(sliced), limit) for x in cache.encode_texts(some)]
+    assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found] == expected_ids(texts[1:7] + texts[8:])
+
+
+def test_special_tokens_with_marks_behind_letters_stay_whole(tmp_path):
+    tokenizer = Tokenizer.from_file(p.default_tokenizer())
+    tokenizer.add_special_tokens(["<|end_of_text|>"])
+    tokenizer.save(str(tmp_path / "t.json"))
+    words = "zu.zu <|end_of_text|> the.<|end_of_text|>, cat."
+    (found,) = p.TokenCache(str(tmp_path / "t.json")).encode([words.encode().split()])
+    assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(words, add_special_tokens=False).ids
