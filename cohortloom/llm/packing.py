@@ -243,8 +243,10 @@ class TokenCache:
             return
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :]
         data = texts.buffers()[2][int(offsets[0]) : int(offsets[0] + stops[-1])].to_pybytes()
-        if self.lower:
-            data = data.lower()
+        small = data.lower() if self.lower else data
+        # The tokenizer looks for special tokens before it makes letters small: none may come from capitals.
+        if all(small.count(token) == data.count(token) for token in self.special):
+            data = small
         bounds = np.append(0, stops)
         cuts = np.append(_cuts(data, bounds, self.parts_marks), len(data))
         parts = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])

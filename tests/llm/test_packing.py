@@ -212,3 +212,8 @@ def test_special_tokens_with_marks_behind_letters_stay_whole(tmp_path):
     words = "zu.zu <|end_of_text|> the.<|end_of_text|>, cat."
     (found,) = p.TokenCache(str(tmp_path / "t.json")).encode([words.encode().split()])
     assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(words, add_special_tokens=False).ids
+
+
+def test_capitals_make_no_special_token(spark):
+    texts = {1: "A <|ENDOFTEXT|> B<|EndOfText|>. The", 2: "A <|endoftext|> The", 3: "THE <|StartOfText|>"}
+    check(p.pack(documents(spark, list(texts.items())), capacity=64), texts, 64)
