@@ -65,7 +65,7 @@ KINDS = bytes(
 )
 LATIN = 0xC3  # leads the letters of Latin-1, and two signs
 LATIN_SIGNS = b"\x97\xb7"
-CHUNK_BYTES = 1 << 23  # of texts that are encoded together, besides one longer text
+CHUNK_BYTES = 1 << 22  # of texts that are encoded together, besides one longer text
 ROUNDS = 4
 EPSILON = 1e-9
 LEAST_SHARE = 0.01  # of all tokens that another program must place for one more
@@ -312,6 +312,7 @@ def pieces(
             if with_ids:
                 columns.append(pa.array(ids, pa.binary()))
             yield pa.record_batch(columns, names=names + ["ids"] * with_ids)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     modest_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))

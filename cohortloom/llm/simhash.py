@@ -145,10 +145,12 @@ def link_close(points, queries, members, radius: int, groups: Groups, levels: in
             link_close(points, some, members[low:high], radius, groups, levels - 1)
 
 
-def _shard_links(points: DataFrame, radius: int) -> DataFrame:
-    """(a, b) fingerprints whose links connect what is within ``radius``; a spanning star per cell."""
+def _shard_links(points: DataFrame, total: int, radius: int) -> DataFrame:
+    """(a, b) fingerprints whose links connect what is within ``radius``; a spanning star per cell.
+
+    There are ``total`` points.
+    """
     spark = points.sparkSession
-    total = points.count()
     share = min(4, max(1, total))  # the sample is a quarter of the fingerprints at most
     sample = (
         points.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE, total // share)).select("fp").collect()
@@ -210,15 +212,18 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component) of every row; component is the smallest id that links reach."""
     rows = settle(fingerprints(docs, id_column, text))
-    points = settle(rows.groupBy("fp").agg(F.min("id").alias("first")))
-    groups = connected_components(_shard_links(points, radius)).withColumnRenamed("node", "fp")
+    points = settle(rows.groupBy("fp").agg(F.min("id").alias("first")), rows=rows.count())
+    total = points.count()
+    links = _shard_links(points, total, radius)
+    groups = connected_components(links, total).withColumnRenamed("node", "fp")
     joined = points.join(groups, "fp", "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
     smallest = joined.groupBy("label").agg(F.min("first").alias("component"))
     # Written first: AQE can split a fingerprint with very many rows only if neither side
     # comes from an aggregation.
-    of = settle(settle(joined).join(settle(smallest), "label").select("fp", "component"))
+    both = settle(joined, rows=total).join(settle(smallest, rows=total), "label")
+    of = settle(both.select("fp", "component"), rows=total)
     return rows.join(of, "fp").select("id", "fp", "component")
 
 

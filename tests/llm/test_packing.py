@@ -217,3 +217,19 @@ def test_special_tokens_with_marks_behind_letters_stay_whole(tmp_path):
 def test_capitals_make_no_special_token(spark):
     texts = {1: "A <|ENDOFTEXT|> B<|EndOfText|>. The", 2: "A <|endoftext|> The", 3: "THE <|StartOfText|>"}
     check(p.pack(documents(spark, list(texts.items())), capacity=64), texts, 64)
+
+
+def test_memory_beside_the_texts_is_bounded():
+    """A worker encodes 16 MB of texts with 16 MB of Arrow's memory: 8 MB of them at a time took 32."""
+    source = random.Random(5)
+    vocabulary = ["".join(source.choices("abcdefghij", k=source.randint(2, 9))) for _ in range(3_000)]
+    texts = pa.array([" ".join(source.choices(vocabulary, k=2_000)).encode() for _ in range(1_250)], pa.large_binary())
+    cache = p.TokenCache(p.default_tokenizer())
+    usual, counted = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(counted)
+    try:
+        encoded = sum(map(len, cache.encode_texts(texts)))
+    finally:
+        pa.set_memory_pool(usual)
+    assert texts.nbytes > 15_000_000 and encoded
+    assert counted.max_memory() < 24_000_000, counted.max_memory()

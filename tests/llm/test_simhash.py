@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 import xxhash
 
 from cohortloom.llm import simhash as s
 from cohortloom.llm.components import connected_components
+from cohortloom.operators.materialize import ensure_checkpoint_dir
 from .helpers import SMALL, documents, rows, words
 
 
@@ -99,3 +102,27 @@ def test_a_shard_in_several_cells_finds_the_same(spark, monkeypatch):
     monkeypatch.setattr(s, "MEMBERS", 20)
     monkeypatch.setattr(s, "QUERIES", 30)
     assert rows(s.near_duplicates(docs)) == expected
+
+
+def test_few_rows_make_few_files(spark):
+    """The number of files follows the rows, not the shuffle's partitions: each costs processes and their memory."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    docs = documents(spark, [(i, f"some text of number {i % 20} here and there") for i in range(60)])
+    links = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21)], "a long, b long").repartition(5)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        labels = connected_components(links)
+        assert labels.rdd.getNumPartitions() == 1
+        assert rows(labels) == sorted([*((i, 0) for i in range(10)), (20, 20), (21, 20)], key=str)
+        written = set(folder.rglob("part-*"))
+        found = s.near_duplicates(docs)
+        files = len(set(folder.rglob("part-*")) - written)
+        groups = found.select("id", "component").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert files < 64  # a single table of 64 files would be more
+    assert len(groups) == 60 and all(r.component <= r.id % 20 for r in groups)
